@@ -7,19 +7,28 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import cosine
+from ..session import materialise
+
+
+def pair_tasks(spark) -> int:
+    """Tasks for joins that multiply rows: the session's shuffle partitions, at least its cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common: int,
-                block: int = 4096) -> DataFrame:
+                block: int = 1024) -> DataFrame:
     """``(a, b, common, dot, sq_a, sq_b)`` for every pair a < b sharing >= ``min_common`` partners.
 
-    Exact, with the sums over the shared partners only. Three things keep the
-    self-join on ``via`` from being quadratic in its heaviest key:
+    Exact, with the sums over the shared partners only. The rows are written once
+    to the shared folder, because the self-join and its preparation read them
+    several times. Three things keep the self-join on ``via`` from being quadratic
+    in its heaviest key:
 
     * entities with fewer than ``min_common`` partners leave before the join;
-    * the ``min_common - 1`` heaviest partners never generate pairs. A qualifying
-      pair shares at least one other partner, so no pair is lost; their share of
-      the sums is added afterwards from one bounded wide row per entity;
+    * of the partners with more than ``block`` entities, the ``min_common - 1``
+      heaviest never generate pairs. A qualifying pair shares at least one other
+      partner, so no pair is lost; their share of the sums is added afterwards
+      from one bounded wide row per entity;
     * any other partner with more than ``block`` entities is cut into blocks, so
       its pairs are produced by many tasks. Each left row stays in its own block,
       each right row is copied to the blocks of that partner.
@@ -29,29 +38,32 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
     rows = values.select(
         F.col(entity).alias("e"), F.col(via).alias("v"), F.col(value).cast("long").alias("x")
     )
-    support = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_common)
-    rows = rows.join(support.select("e"), "e", "left_semi")
-
-    degree = rows.groupBy("v").agg(F.count(F.lit(1)).alias("deg"))
-    heavy_count = max(min_common - 1, 0)
-    # At most min_common - 1 keys: the size of this broadcast is fixed by the caller.
-    heavy = degree.orderBy(F.col("deg").desc(), F.col("v")).limit(heavy_count)
-    light = rows.join(F.broadcast(heavy.select("v")), "v", "left_anti") if heavy_count else rows
-
-    wide = degree.filter(F.col("deg") > block).select(
-        "v", F.ceil(F.col("deg") / block).cast("int").alias("parts")
-    )
-    placed = light.join(wide, "v", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    left = placed.select(
-        "v", F.pmod(F.xxhash64("e"), F.col("parts")).alias("part"),
-        F.col("e").alias("a"), F.col("x").alias("xa"),
-    )
-    right = placed.select(
-        "v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"),
-        F.col("e").alias("b"), F.col("x").alias("xb"),
-    )
+    if min_common > 1:
+        support = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_common)
+        rows = rows.join(support.select("e"), "e", "left_semi")
+    rows = materialise(rows, "pair-input")
+
+    wide = rows.groupBy("v").agg(F.count(F.lit(1)).alias("deg")).filter(F.col("deg") > block)
+    # At most ``min_common`` rows reach the driver: the deferred keys, and whether more are wide.
+    top = wide.orderBy(F.col("deg").desc(), F.col("v")).limit(max(min_common, 1)).collect()
+    deferred = [r["v"] for r in top[: min_common - 1]]
+    light = rows.filter(~F.col("v").isin(deferred)) if deferred else rows
+
+    left = light.select("v", F.lit(0).cast("long").alias("part"), F.col("e").alias("a"), F.col("x").alias("xa"))
+    right = light.select("v", F.lit(0).cast("long").alias("part"), F.col("e").alias("b"), F.col("x").alias("xb"))
+    if len(top) > len(deferred):
+        parts = wide.select("v", F.ceil(F.col("deg") / block).alias("parts"))
+        placed = light.join(parts, "v", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+        left = placed.select(
+            "v", F.pmod(F.xxhash64("e"), F.col("parts")).alias("part"), F.col("e").alias("a"), F.col("x").alias("xa"))
+        right = placed.select(
+            "v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+            F.col("e").alias("b"), F.col("x").alias("xb"))
+    # The input is small next to the pairs it makes; a fixed number of partitions
+    # keeps the runtime from merging them into a few tasks by input size.
+    tasks = pair_tasks(values.sparkSession)
     sums = (
-        left.join(right, ["v", "part"])
+        left.repartition(tasks, "v", "part").join(right.repartition(tasks, "v", "part"), ["v", "part"])
         .filter("a < b")
         .groupBy("a", "b")
         .agg(
@@ -61,18 +73,16 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
             F.sum(F.col("xb") * F.col("xb")).alias("sq_b"),
         )
     )
-    if heavy_count:
-        sums = _add_heavy(sums, rows, heavy, heavy_count)
+    if deferred:
+        sums = _add_deferred(sums, rows, deferred)
     return sums.filter(F.col("common") >= min_common)
 
 
-def _add_heavy(sums: DataFrame, rows: DataFrame, heavy: DataFrame, width: int) -> DataFrame:
-    """Add what the deferred partners contribute, from ``width`` columns per entity."""
-    slots = heavy.agg(F.array_sort(F.collect_list("v")).alias("keys"))  # one row, width keys
-    keyed = rows.join(F.broadcast(heavy.select("v")), "v", "left_semi").withColumn("keys", slots.scalar())
-    slot = F.array_position("keys", F.col("v"))
-    packed = keyed.withColumn("slot", slot).groupBy("e").agg(
-        *[F.max(F.when(F.col("slot") == i + 1, F.col("x"))).alias(f"h{i}") for i in range(width)]
+def _add_deferred(sums: DataFrame, rows: DataFrame, deferred: list) -> DataFrame:
+    """Add what the deferred partners contribute, from one column per deferred key."""
+    width = len(deferred)
+    packed = rows.filter(F.col("v").isin(deferred)).groupBy("e").agg(
+        *[F.max(F.when(F.col("v") == key, F.col("x"))).alias(f"h{i}") for i, key in enumerate(deferred)]
     )
     a = packed.toDF("a", *[f"ha{i}" for i in range(width)])
     b = packed.toDF("b", *[f"hb{i}" for i in range(width)])
@@ -95,7 +105,7 @@ def _add_heavy(sums: DataFrame, rows: DataFrame, heavy: DataFrame, width: int) -
 
 
 def support_cosine(values: DataFrame, entity: str, via: str, value: str, min_common: int,
-                   block: int = 4096) -> DataFrame:
+                   block: int = 1024) -> DataFrame:
     """``(a, b, common, sim)``: cosine over the shared partners, minimum support applied."""
     sums = shared_sums(values, entity, via, value, min_common, block)
     return sums.select(

@@ -190,10 +190,11 @@ def rated_and_predicted(x):
 
 
 @query("user_scores", BASE + "," + PREDICTIONS + "," + scores("predictions") + """
-SELECT user_id, round_even(mae, 4) AS mae, round_even(rmse, 4) AS rmse, recall, recommended, overlap FROM user_scores""")
+SELECT user_id, round_even(mae + 1e-9, 4) AS mae, round_even(rmse + 1e-9, 4) AS rmse, recall, recommended, overlap FROM user_scores""")
 def user_scores(x):
     return user_scores_of(x).select(
-        "user_id", half_even("mae", 4).alias("mae"), half_even("rmse", 4).alias("rmse"), "recall", "recommended", "overlap")
+        "user_id", half_even(F.col("mae") + 1e-9, 4).alias("mae"), half_even(F.col("rmse") + 1e-9, 4).alias("rmse"),
+        "recall", "recommended", "overlap")
 
 
 @query("macro_metrics", BASE + "," + PREDICTIONS + "," + scores("predictions") + f"SELECT {MACRO} FROM user_scores WHERE overlap > 0")
