@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .fixed_values import STOP_WORDS, TOKEN_PATTERN
 
@@ -95,24 +95,32 @@ def split_components(text, rules: dict[str, str] | None = None, words: int = 5)
     )
 
 
-def sentiment_elements(text, prefixes: dict[str, str], strip_to: list[str], rules=None) -> Column:
-    """``STRUCT<components, sentences>``: headings, and each heading with its cleaned reason."""
-    heads = split_components(text, rules)
-    row = normalise_components(text, rules)
+def add_sentiment(df: DataFrame, column: str, prefixes: dict[str, str], strip_to: list[str], rules=None,
+                  out: str = "elements") -> DataFrame:
+    """Add ``STRUCT<components, sentences>``: headings, and each heading with its cleaned reason.
+
+    The normalised text and the headings become columns first, so that they are
+    computed once per row and not once per heading.
+    """
+    prepared = df.withColumns({
+        "_row": normalise_components(F.col(column), rules),
+        "_heads": split_components(F.col(column), rules),
+    })
 
     def sentence(head):
-        reason = F.substring_index(F.substring_index(row, F.concat(head, F.lit(":")), -1), ".", 1)
-        reason = remove_stop_words(_plain(reason))
+        after = F.call_function("substring_index", F.col("_row"), F.concat(head, F.lit(":")), F.lit(-1))
+        reason = remove_stop_words(_plain(F.substring_index(after, ".", 1)))
         label = simplify_category(head, prefixes, strip_to)
         return F.replace(F.concat(label, F.lit(" "), reason), F.lit("  "), F.lit(" "))
 
-    return F.struct(
+    elements = F.struct(
         F.transform(
-            F.filter(heads, lambda h: h != ""),
+            F.filter("_heads", lambda h: h != ""),
             lambda h: simplify_category(h, prefixes, strip_to),
         ).alias("components"),
-        F.transform(F.array_distinct(heads), sentence).alias("sentences"),
+        F.transform(F.array_distinct("_heads"), sentence).alias("sentences"),
     )
+    return prepared.withColumn(out, elements).drop("_row", "_heads")
 
 
 def clean_review(text) -> Column:

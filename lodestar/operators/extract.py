@@ -48,11 +48,14 @@ def attributes(items: DataFrame) -> DataFrame:
     return items.select(F.col("_id").alias("item_id"), *[F.col(p).alias(n) for n, p in ATTRIBUTES.items()])
 
 
+def primary_name() -> Column:
+    return F.get(F.filter("name", lambda n: n["_type"] == "primary"), F.lit(0))["_value"]
+
+
 def identity(items: DataFrame) -> DataFrame:
-    primary = F.filter("name", lambda n: n["_type"] == "primary")
     return items.select(
         F.col("_id").alias("item_id"),
-        F.get(primary, F.lit(0))["_value"].alias("name"),
+        primary_name().alias("name"),
         "description",
         F.coalesce("image", F.lit("None")).alias("image"),
     )
@@ -126,11 +129,19 @@ def bridge(items: DataFrame, kind: str) -> DataFrame:
     return items.select(F.col("_id").alias("item_id"), F.explode(links(kind)).alias("value"))
 
 
+def bridges(items: DataFrame, kinds: list[str]) -> DataFrame:
+    """``(item_id, kind, value)`` for several kinds in one scan of the items."""
+
+    def tagged(kind):
+        return F.transform(links(kind), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    return items.select(F.col("_id").alias("item_id"), F.inline(F.flatten(F.array(*map(tagged, kinds)))))
+
+
 def mechanics(items: DataFrame) -> DataFrame:
     """Mechanic links plus an indicator for each family tag that is one."""
     tagged = [
-        F.when(F.exists(links("family"), lambda v, t=tag: v == t), F.lit(name))
-        for tag, name in FAMILY_MECHANICS.items()
+        F.when(F.array_contains(links("family"), tag), F.lit(name)) for tag, name in FAMILY_MECHANICS.items()
     ]
     both = F.concat(F.coalesce(links("mechanic"), F.array().cast("array<string>")), F.array_compact(F.array(*tagged)))
     return items.select(F.col("_id").alias("item_id"), F.explode(both).alias("value"))

@@ -77,11 +77,19 @@ def value_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def same_group(df: DataFrame, item: str, group: str) -> DataFrame:
-    """Pairs of different items that share a group."""
-    left = df.select(F.col(item).alias("item_a"), F.col(group))
-    right = df.select(F.col(item).alias("item_b"), F.col(group))
-    return left.join(right, group).filter("item_a <> item_b").select("item_a", "item_b", group)
+def group_members(df: DataFrame, item: str, group: str, wanted: DataFrame | None = None) -> DataFrame:
+    """``(group, item, others)``: the members of each group, with how many others share it.
+
+    The relation is kept as membership, not as pairs: a group that holds a third of
+    the items stays as many rows as it has items. ``wanted`` limits the result to
+    the groups of some items.
+    """
+    members = df.select(group, item)
+    if wanted is not None:
+        groups = df.join(wanted.select(item), item, "left_semi").select(group).distinct()
+        members = members.join(groups, group, "left_semi")
+    sizes = members.groupBy(group).agg((F.count(F.lit(1)) - 1).alias("others"))
+    return members.join(sizes, group).filter("others > 0").select(group, item, "others")
 
 
 def stage_counts(df: DataFrame, group: str, stages: dict[str, Column]) -> DataFrame:

@@ -166,7 +166,6 @@ class Inputs:
         def value(col):
             return F.struct(col.alias("_value"))
 
-        nothing = F.lit(None).cast("int")
         rank = lambda name, v: F.struct(F.lit(name).alias("_name"), v.cast("string").alias("_value"))
         ranks = F.array(
             rank("boardgame", F.col("p_partkey") + 1),
@@ -177,7 +176,7 @@ class Inputs:
             value(F.coalesce(total, F.lit(0))).alias("usersrated"), value(F.col("p_retailprice") / 100).alias("average"),
             value(F.col("p_retailprice") / 200).alias("bayesaverage"), value(F.lit(None).cast("double")).alias("stddev"),
             value(size * 3).alias("owned"), value(size * 2).alias("wanting"), value(size).alias("wishing"),
-            value(nothing).alias("numweights"), value(size / 10).alias("averageweight"),
+            value(size * 4).alias("numweights"), value(size / 10).alias("averageweight"),
             F.struct(ranks.alias("rank")).alias("ranks"),
         )
         part = self.table("part").join(per_part, F.col("p_partkey") == F.col("l_partkey"), "left")

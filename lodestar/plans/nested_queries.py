@@ -1 +1,198 @@
+"""Nested XML items made from the given tables, written, scanned and flattened."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import extract as X
+from ..session import scratch_path
+from ..sources import readers, writers
+from ..streaming import jobs
+from .registry import query
+
+
+def items(x):
+    return readers.xml_items(x.spark, x.item_files())
+
+
+COUNTS = "c AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1)"
+
+
+@query("xml_item_scan", f"WITH {COUNTS} SELECT p_partkey AS item_id, CAST(coalesce(n, 0) AS INTEGER) AS num_ratings, p_name || ' & ' || p_type AS description FROM part LEFT JOIN c ON l_partkey = p_partkey")
+def xml_item_scan(x):
+    return items(x).select(
+        F.col("_id").alias("item_id"), F.col("statistics.ratings.usersrated._value").alias("num_ratings"), "description")
+
+
+@query("xml_user_scan", """
+SELECT CAST(user_id AS VARCHAR) AS username, event_id AS item_id, CASE WHEN event_type <> 'error' THEN value END AS rating,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS lastmodified FROM events""")
+def xml_user_scan(x):
+    rows = readers.user_collections(x.spark, x.collection_files())
+    return rows.withColumn("lastmodified", F.date_format("lastmodified", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("from_xml_column", "SELECT p_partkey AS item_id, p_name AS name, p_retailprice / 100 AS average FROM part")
+def from_xml_column(x):
+    texts = x.nested().select(F.to_xml(F.struct("*"), {"rowTag": "item"}).alias("doc"))
+    parsed = readers.parse_items(texts, "doc")
+    return parsed.select(
+        F.col("_id").alias("item_id"), X.primary_name().alias("name"),
+        F.col("statistics.ratings.average._value").alias("average"))
+
+
+@query("popularity_gate", f"WITH {COUNTS} SELECT l_partkey AS item_id FROM c WHERE n >= 30 AND l_partkey IN (SELECT p_partkey FROM part)")
+def popularity_gate(x):
+    return X.gate(items(x)).select(F.col("_id").alias("item_id"))
+
+
+@query("attribute_projection", f"""WITH {COUNTS} SELECT p_partkey AS item_id, p_size + 1950 AS year, p_size % 5 AS min_players, p_size % 5 + 2 AS max_players,
+p_size * 10 AS playtime, p_size * 5 AS min_playtime, p_size * 15 AS max_playtime, p_size % 18 AS min_age, CAST(coalesce(n, 0) AS INTEGER) AS num_ratings,
+p_retailprice / 100 AS avg_rating, p_retailprice / 200 AS bayes_rating, CAST(NULL AS DOUBLE) AS std_dev, p_size * 3 AS num_owned, p_size * 2 AS num_want,
+p_size AS num_wish, p_size * 4 AS num_weights, p_size / 10 AS weight FROM part LEFT JOIN c ON l_partkey = p_partkey""")
+def attribute_projection(x):
+    return X.attributes(items(x))
+
+
+@query("identity_fields", """SELECT p_partkey AS item_id, p_name AS name, p_name || ' & ' || p_type AS description,
+CASE WHEN p_size % 7 <> 0 THEN 'pic' || p_partkey ELSE 'None' END AS image FROM part""")
+def identity_fields(x):
+    return X.identity(items(x))
+
+
+@query("typed_child_counts", """SELECT p_partkey AS item_id, 1 AS num_alternates, CAST(p_size % 3 = 1 AS INTEGER) AS num_expansions,
+CAST(p_size % 8 = 0 AS INTEGER) AS num_implementations, CAST(p_size % 8 = 0 AS INTEGER) AS is_reimplementation FROM part""")
+def typed_child_counts(x):
+    return X.child_counts(items(x))
+
+
+@query("rank_map", """SELECT p_partkey AS item_id, CAST(p_partkey + 1 AS VARCHAR) AS "Rank:boardgame",
+CASE WHEN p_size % 3 = 0 THEN 'Not Ranked' ELSE CAST(p_size AS VARCHAR) END AS "Rank:thematic", CAST(NULL AS VARCHAR) AS "Rank:amiga" FROM part""")
+def rank_map(x):
+    return X.rank_columns(items(x), ["Rank:boardgame", "Rank:thematic", "Rank:amiga"], ["amiga"])
+
+
+@query("family_attribute", """SELECT p_partkey AS item_id, CASE WHEN p_size % 2 = 0 THEN string_split(p_name, ' ')[2]
+WHEN p_size % 3 = 0 THEN string_split(p_name, ' ')[1] END AS family FROM part""")
+def family_attribute(x):
+    return X.family(items(x))
+
+
+@query("presence_flag", "SELECT p_partkey AS item_id, CAST(p_size % 5 = 0 AS INTEGER) AS kickstarted FROM part")
+def presence_flag(x):
+    return X.presence(items(x), "Crowdfunding", "kickstarted")
+
+
+@query("component_list", "SELECT p_partkey AS item_id, CASE WHEN p_size % 4 = 0 THEN 'Component: ' || p_type ELSE '' END AS components FROM part")
+def component_list(x):
+    return X.components(items(x)).withColumn("components", F.array_join("components", ","))
+
+
+@query("bridge_explode", """
+SELECT p_partkey AS item_id, 'category' AS kind, p_type AS value FROM part UNION ALL SELECT p_partkey, 'designer', p_brand FROM part
+UNION ALL SELECT p_partkey, 'publisher', 'House ' || p_size FROM part UNION ALL SELECT p_partkey, 'expansion', p_name || ' X' FROM part WHERE p_size % 3 = 1""")
+def bridge_explode(x):
+    """All bridges from one scan: kinds are exploded together instead of one pass each."""
+    kinds = ["category", "designer", "publisher", "expansion"]
+    return X.bridges(items(x), kinds)
+
+
+@query("mechanics_bridge", """SELECT p_partkey AS item_id, unnest(string_split(p_name, ' ')) AS value FROM part
+UNION ALL SELECT p_partkey, 'Legacy' FROM part WHERE p_size % 7 = 0""")
+def mechanics_bridge(x):
+    return X.mechanics(items(x))
+
+
+@query("award_bridge", "SELECT p_partkey AS item_id, trim(regexp_replace(p_brand || ' Winner', '[0-9]', '', 'g')) AS value FROM part")
+def award_bridge(x):
+    return X.awards(items(x))
+
+
+@query("ratings_explode", """SELECT 'u' || l_orderkey AS username, l_partkey AS item_id, l_quantity / 5 AS rating, l_returnflag || ' ' || l_linestatus AS value FROM lineitem""")
+def ratings_explode(x):
+    return X.comments(readers.xml_items(x.spark, x.comment_files()))
+
+
+@query("dated_ratings_explode", """
+SELECT CAST(user_id AS VARCHAR) AS username, count(*) AS n, count(*) FILTER (event_type <> 'error') AS rated, strftime(max(ts), '%Y-%m-%d') AS last_date FROM events GROUP BY user_id""")
+def dated_ratings_explode(x):
+    rows = readers.user_collections(x.spark, x.collection_files())
+    return rows.groupBy("username").agg(
+        F.count(F.lit(1)).alias("n"), F.count("rating").alias("rated"), F.date_format(F.max("lastmodified"), "yyyy-MM-dd").alias("last_date"))
+
+
+_FLAGS = """f AS (SELECT l_partkey, count(*) FILTER (l_returnflag = 'A') AS a, count(*) FILTER (l_returnflag = 'N') AS n, count(*) FILTER (l_returnflag = 'R') AS r
+FROM lineitem GROUP BY 1)"""
+
+
+@query("poll_majority", f"""WITH {_FLAGS} SELECT p_partkey AS item_id, CASE WHEN l_partkey IS NULL THEN NULL WHEN a >= n AND a >= r THEN 'No text'
+WHEN n >= r THEN 'Some text' ELSE 'Much text' END AS answer FROM part LEFT JOIN f ON l_partkey = p_partkey""")
+def poll_majority(x):
+    return items(x).select(F.col("_id").alias("item_id"), X.majority("Language Dependence").alias("answer"))
+
+
+_PLAYERS = """s AS (SELECT l_partkey, l_linenumber, count(*) FILTER (l_returnflag = 'A') AS a, count(*) FILTER (l_returnflag = 'N') AS n,
+  count(*) FILTER (l_returnflag = 'R') AS r, sum(count(*)) OVER (PARTITION BY l_partkey) AS total FROM lineitem GROUP BY 1, 2)"""
+
+
+@query("poll_weighted_winner", f"""WITH {_PLAYERS}, w AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY a + 0.5 * n DESC, l_linenumber) AS rn FROM s)
+SELECT p_partkey AS item_id, CAST(l_linenumber AS VARCHAR) AS best_players FROM part LEFT JOIN w ON l_partkey = p_partkey AND rn = 1""")
+def poll_weighted_winner(x):
+    return items(x).select(F.col("_id").alias("item_id"), X.weighted_winner("User Suggested Number of Players").alias("best_players"))
+
+
+@query("poll_good_options", f"""WITH {_PLAYERS},
+g AS (SELECT l_partkey, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) AS good FROM s WHERE total > 30 AND (a + n) / total > 0.15 GROUP BY 1),
+w AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY 2 * a + n DESC, l_linenumber) AS rn FROM s WHERE total > 30)
+SELECT p_partkey AS item_id, CASE WHEN p_partkey IN (SELECT l_partkey FROM s) THEN coalesce(good, '') END AS good_players,
+       CASE WHEN 2 * a + n > 0 THEN CAST(w.l_linenumber AS VARCHAR) WHEN w.l_partkey IS NOT NULL THEN '0' END AS best_gated
+FROM part LEFT JOIN g ON g.l_partkey = p_partkey LEFT JOIN w ON w.l_partkey = p_partkey AND rn = 1""")
+def poll_good_options(x):
+    title = "User Suggested Number of Players"
+    return items(x).select(
+        F.col("_id").alias("item_id"), F.array_join(X.good_options(title, ratio=0.15), ",").alias("good_players"),
+        X.gated_best(title).alias("best_gated"))
+
+
+@query("xml_compaction", "SELECT 'group' || p_size % 7 AS combined, count(*) AS items FROM part GROUP BY 1")
+def xml_compaction(x):
+    source, target = scratch_path(x.spark, "small"), scratch_path(x.spark, "combined")
+    grouped = x.nested().withColumn("grp", F.concat(F.lit("group"), (F.col("yearpublished._value") - 1950).cast("int") % 7))
+    writers.write_items(grouped, source, by="grp")
+    return writers.compact_xml(x.spark, source, target)
+
+
+@query("file_manifest", "SELECT 'xml' AS suffix, true AS found, true AS sized")
+def file_manifest(x):
+    files = readers.manifest(x.spark, x.item_files(), "xml")
+    return files.agg((F.count(F.lit(1)) > 0).alias("found"), (F.sum("length") > 0).alias("sized")).select(
+        F.lit("xml").alias("suffix"), "found", "sized")
+
+
+# --- streams, run until nothing is left -------------------------------------------------------
+
+@query("incremental_xml_ingest", f"WITH {COUNTS} SELECT p_partkey AS item_id, CAST(coalesce(n, 0) AS INTEGER) AS num_ratings FROM part LEFT JOIN c ON l_partkey = p_partkey")
+def incremental_xml_ingest(x):
+    target, checkpoint = scratch_path(x.spark, "ingested"), scratch_path(x.spark, "checkpoint")
+    jobs.ingest_xml(x.spark, x.item_files(), target, checkpoint).awaitTermination()
+    return x.spark.read.parquet(target)
+
+
+@query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(x):
+    target, checkpoint = scratch_path(x.spark, "deduped"), scratch_path(x.spark, "checkpoint")
+    events = jobs.read_events(x.spark, x.folder, "events.parquet", x.table("events").schema)
+    # The delay spans the data, so a key is dropped however late it comes again.
+    once = jobs.dedup(events.select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type"), "ts", ["user_id", "event_type"], "400 days")
+    jobs.write_append(once, target, checkpoint).awaitTermination()
+    return x.spark.read.parquet(target).select("user_id", "event_type")
+
+
+@query("stream_item_stats", """
+SELECT event_type, count(*) AS n, round_even(sum(value), 2) AS total, round_even(sum(value * value), 2) AS total_sq FROM events GROUP BY event_type""")
+def stream_item_stats(x):
+    target, checkpoint = scratch_path(x.spark, "stats"), scratch_path(x.spark, "checkpoint")
+    events = jobs.read_events(x.spark, x.folder, "events.parquet", x.table("events").schema)
+    jobs.item_stats(events, "event_type", "value", target, checkpoint).awaitTermination()
+    latest = jobs.latest_stats(x.spark, target, "event_type")
+    return latest.select("event_type", "n", F.bround("total", 2).alias("total"), F.bround("total_sq", 2).alias("total_sq"))
