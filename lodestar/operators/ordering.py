@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..functions.identity import HASH_BITS, stable_hash
+
 _SLICES = 64
 
 
@@ -52,23 +54,22 @@ def global_rank(df: DataFrame, key: str, tie: str, out: str = "rank", descending
     )
 
 
-def hashed_rank(df: DataFrame, groups: list[str], hash_col, tie: str, out: str = "rank",
+def hashed_rank(df: DataFrame, groups: list[str], key: str, seed: int = 42, out: str = "rank",
                 buckets: int = 256) -> DataFrame:
-    """Rank inside each group by a hash, with every group split by the hash's leading part.
+    """Rank inside each group by a hash of ``key``, with every group split by the hash's leading part.
 
     Sub-buckets are contiguous in hash order, so sub-bucket offset plus the rank
     inside the sub-bucket equals the rank in the whole group; no task ever sorts
     more than one sub-bucket of a hot group.
     """
-    span = 1 << 40
-    hashed = df.withColumn("_h", F.pmod(hash_col, F.lit(span)))
-    hashed = hashed.withColumn("_b", F.floor(F.col("_h") / F.lit(span // buckets)))
+    hashed = df.withColumn("_h", stable_hash(key, seed=seed))
+    hashed = hashed.withColumn("_b", F.floor(F.col("_h") / F.lit((1 << HASH_BITS) // buckets)))
     counts = hashed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
     running = W.partitionBy(*groups).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
         *groups, "_b", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before")
     )
-    within = W.partitionBy(*groups, "_b").orderBy("_h", tie)
+    within = W.partitionBy(*groups, "_b").orderBy("_h", key)
     return (
         hashed.join(offsets, [*groups, "_b"])
         .withColumn(out, F.col("_before") + F.row_number().over(within))

@@ -29,9 +29,9 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
       heaviest never generate pairs. A qualifying pair shares at least one other
       partner, so no pair is lost; their share of the sums is added afterwards
       from one bounded wide row per entity;
-    * any other partner with more than ``block`` entities is cut into blocks, so
-      its pairs are produced by many tasks. Each left row stays in its own block,
-      each right row is copied to the blocks of that partner.
+    * any other partner with more than ``block`` entities is cut into blocks, and
+      its pairs are produced cell by cell of the triangle of block pairs, so no
+      task or join buffer holds more than about two blocks of it.
 
     Values are integers, so the sums do not depend on the order of addition.
     """
@@ -49,22 +49,29 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
     deferred = [r["v"] for r in top[: min_common - 1]]
     light = rows.filter(~F.col("v").isin(deferred)) if deferred else rows
 
-    left = light.select("v", F.lit(0).cast("long").alias("part"), F.col("e").alias("a"), F.col("x").alias("xa"))
-    right = light.select("v", F.lit(0).cast("long").alias("part"), F.col("e").alias("b"), F.col("x").alias("xb"))
+    zero = F.lit(0).cast("long")
+    left = right = light.select("v", "e", "x", zero.alias("i"), zero.alias("j"))
     if len(top) > len(deferred):
         parts = wide.select("v", F.ceil(F.col("deg") / block).alias("parts"))
         placed = light.join(parts, "v", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+        placed = placed.withColumn("own", F.pmod(F.xxhash64("e"), F.col("parts")))
         left = placed.select(
-            "v", F.pmod(F.xxhash64("e"), F.col("parts")).alias("part"), F.col("e").alias("a"), F.col("x").alias("xa"))
+            "v", "e", "x", F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("parts") - 1)).alias("j"))
         right = placed.select(
-            "v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-            F.col("e").alias("b"), F.col("x").alias("xb"))
+            "v", "e", "x", F.explode(F.sequence(zero, F.col("own"))).alias("i"), F.col("own").alias("j"))
     # The input is small next to the pairs it makes; a fixed number of partitions
     # keeps the runtime from merging them into a few tasks by input size.
     tasks = pair_tasks(values.sparkSession)
+    left = left.repartition(tasks, "v", "i", "j").toDF("v", "p", "xp", "i", "j")
+    right = right.repartition(tasks, "v", "i", "j").toDF("v", "q", "xq", "i", "j")
+    met = left.join(right, ["v", "i", "j"]).filter("i < j or p < q")
+    forward = F.col("p") < F.col("q")
     sums = (
-        left.repartition(tasks, "v", "part").join(right.repartition(tasks, "v", "part"), ["v", "part"])
-        .filter("a < b")
+        met.select(
+            F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"),
+            F.when(forward, F.col("xp")).otherwise(F.col("xq")).alias("xa"),
+            F.when(forward, F.col("xq")).otherwise(F.col("xp")).alias("xb"),
+        )
         .groupBy("a", "b")
         .agg(
             F.count(F.lit(1)).alias("common"),

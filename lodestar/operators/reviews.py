@@ -51,7 +51,7 @@ def stratified_reviews(reviews: DataFrame, share: float = SAMPLE_SHARE, minimum:
     decided = plan.join(left, "item_id").withColumn(
         "take_all", (F.col("wanted") < minimum) | (F.col("quality_n") <= F.col("wanted"))
     ).select("item_id", "stratum", "quota", "take_all")
-    ranked = hashed_rank(quality, ["item_id", "stratum"], F.xxhash64("user_id", F.lit(seed)), "user_id")
+    ranked = hashed_rank(quality, ["item_id", "stratum"], "user_id", seed)
     return (
         ranked.join(decided, ["item_id", "stratum"])
         .filter("take_all or rank <= quota")
@@ -62,14 +62,17 @@ def stratified_reviews(reviews: DataFrame, share: float = SAMPLE_SHARE, minimum:
     )
 
 
-def grouped_context(sampled: DataFrame) -> DataFrame:
-    """One text per item: its sampled reviews in user order.
+def grouped_context(sampled: DataFrame, size: int = 500, seed: int = 42) -> DataFrame:
+    """Texts of at most ``size`` reviews per (item, part), in hash order.
 
-    Only for a sample: the sampling plan bounds what one item can hold.
+    A share of a very popular item's reviews is still a lot of text, so an item gets
+    as many parts as it needs instead of one unbounded row.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("user_id", "combined_review")))
-    return sampled.groupBy("item_id").agg(ordered.alias("r")).select(
-        "item_id", F.array_join(F.transform("r", lambda x: x["combined_review"]), "\n").alias("review_text"),
+    ranked = hashed_rank(sampled, ["item_id"], "user_id", seed).withColumn(
+        "part", F.floor((F.col("rank") - 1) / size))
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "combined_review")))
+    return ranked.groupBy("item_id", "part").agg(ordered.alias("r")).select(
+        "item_id", "part", F.array_join(F.transform("r", lambda x: x["combined_review"]), "\n").alias("review_text"),
         F.size("r").alias("reviews"),
     )
 

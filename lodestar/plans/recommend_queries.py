@@ -330,7 +330,12 @@ def model_scores(x):
     return E.macro_scores(E.user_scores(estimates, actual(x), R.means(ratings, "user_id")))
 
 
-@query("user_split")
+def hash_sql(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 10) AS BIGINT)"
+
+
+@query("user_split", f"""SELECT user_id, CASE WHEN h % 10000 < 125 THEN 'test' WHEN h % 10000 < 250 THEN 'validation' ELSE 'train' END AS part
+FROM (SELECT c_custkey AS user_id, {hash_sql("c_custkey || ':42'")} AS h FROM customer)""")
 def user_split(x):
     return models.split_users(x.table("customer").select(F.col("c_custkey").alias("user_id")))
 
@@ -340,10 +345,18 @@ def als_cv(x):
     return models.factorisation_cv(x.ratings(), rank=10, iterations=3)
 
 
-@query("normal_predictor")
+def _unit_sql(seed: int) -> str:
+    return f"(({hash_sql(f"user_id || ':' || item_id || ':{seed}'")} + 1) / 1099511627777.0::DOUBLE)"
+
+
+@query("normal_predictor", BASE + f"""
+, st AS (SELECT avg(rating_x10) AS m, stddev_samp(rating_x10) AS s FROM ratings)
+SELECT user_id, item_id, round_even(greatest(0.0, least(10.0, (m + sqrt(-2 * ln({_unit_sql(43)})) * cos(2 * pi() * {_unit_sql(44)}) * s) / 10)), 4) AS estimate
+FROM ratings, st""")
 def normal_predictor(x):
     ratings = x.ratings()
-    return models.normal_predictions(ratings.select("user_id", "item_id"), ratings)
+    estimates = models.normal_predictions(ratings.select("user_id", "item_id"), ratings)
+    return estimates.withColumn("estimate", half_even("estimate", 4))
 
 
 TARGET = 40

@@ -244,7 +244,14 @@ def _sampled(x):
     return V.stratified_reviews(x.reviews(), share=0.5, minimum=5)
 
 
-@query("stratified_reviews")
+_CHOSEN = f"""{_PLAN}, q AS (SELECT *, {clean_review('value')} AS cleaned FROM st),
+ok AS (SELECT item_id, stratum, user_id, rating_x10, cleaned, count(*) OVER (PARTITION BY item_id) AS quality_n,
+  row_number() OVER (PARTITION BY item_id, stratum ORDER BY substr(md5(user_id || ':42'), 1, 10), user_id) AS rn FROM q WHERE {tokens('cleaned')} > 5),
+chosen AS (SELECT item_id, user_id, stratum, printf('%.1f', rating_x10 / 10.0) || ' ' || cleaned AS combined_review
+  FROM ok JOIN plan USING (item_id, stratum) WHERE wanted < 5 OR quality_n <= wanted OR rn <= quota)"""
+
+
+@query("stratified_reviews", f"WITH {_CHOSEN} SELECT * FROM chosen")
 def stratified_reviews(x):
     return _sampled(x)
 
@@ -259,9 +266,11 @@ def stratified_sample(x):
     return _sampled(x).groupBy("item_id", "stratum").agg(F.count(F.lit(1)).alias("sampled"))
 
 
-@query("grouped_context")
+@query("grouped_context", f"""WITH {_CHOSEN}, placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY substr(md5(user_id || ':42'), 1, 10), user_id) AS rn FROM chosen)
+SELECT item_id, CAST(floor((rn - 1) / 10) AS BIGINT) AS part, string_agg(combined_review, chr(10) ORDER BY rn) AS review_text, CAST(count(*) AS INTEGER) AS reviews
+FROM placed GROUP BY 1, 2""")
 def grouped_context(x):
-    return V.grouped_context(_sampled(x))
+    return V.grouped_context(_sampled(x), 10)
 
 
 TEMPLATE = ("Reviews of '{GAME_NAME_HERE}' with average_score {GAME_AVERAGE_HERE}; overall {OVERALL_MEAN}. Below {TWO_UNDER} strongly disliked, "

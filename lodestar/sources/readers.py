@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import schemas
 
@@ -10,23 +11,37 @@ from . import schemas
 def xml_items(spark: SparkSession, path: str, schema: str = schemas.ITEM, keep_corrupt: bool = False) -> DataFrame:
     """Every ``<item>`` of every ``.xml`` file below ``path``, with a declared schema.
 
-    The parser only materialises declared elements, and splits by row tag, so one
-    huge file is still read in pieces. Broken records are kept on request.
+    The parser only materialises declared elements. Numbers are scanned as text and
+    cast afterwards, so a value such as "N/A" becomes null where the parser itself
+    would fail the whole job. Broken records are kept on request.
     """
+    wanted = StructType.fromDDL(schema)
+    scanned = schemas.as_text(wanted)
     reader = (
         spark.read.format("xml").option("rowTag", "item").option("mode", "PERMISSIVE")
         .option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true")
     )
     if keep_corrupt:
-        schema = f"{schema}, {schemas.CORRUPT} STRING"
+        scanned = StructType([*scanned.fields, StructField(schemas.CORRUPT, StringType())])
         reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT)
-    return reader.schema(schema).load(path)
+    items = reader.schema(scanned).load(path)
+    return typed_items(items, wanted)
+
+
+def typed_items(items: DataFrame, wanted: StructType) -> DataFrame:
+    """Cast scanned text to the wanted types, bad numbers to null; other columns stay."""
+    casts = {
+        f.name: F.col(f.name).try_cast(f.dataType) for f in wanted.fields if f.dataType != items.schema[f.name].dataType
+    }
+    return items.withColumns(casts) if casts else items
 
 
 def user_collections(spark: SparkSession, path: str) -> DataFrame:
     """Rated items of users whose name is in the file or folder name ``user_<name>``."""
     items = xml_items(spark, path, schemas.COLLECTION_ITEM)
-    name = F.regexp_extract("_metadata.file_path", r"user_([^/]+?)(?:\.xml|/)", 1)
+    in_file = F.regexp_extract("_metadata.file_name", r"^user_(.*)\.xml$", 1)
+    in_folder = F.regexp_extract("_metadata.file_path", r"/(?:[^/=]+=)?user_([^/]+)/[^/]*$", 1)
+    name = F.when(in_file != "", in_file).otherwise(in_folder)
     return items.select(
         name.alias("username"), F.col("_objectid").alias("item_id"),
         F.col("rating._value").try_cast("double").alias("rating"),
@@ -36,8 +51,9 @@ def user_collections(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_items(texts: DataFrame, column: str, schema: str = schemas.ITEM) -> DataFrame:
     """XML documents held in a column."""
-    parsed = texts.withColumn("_item", F.from_xml(F.col(column), schema, {"rowTag": "item"}))
-    return parsed.select("_item.*")
+    wanted = StructType.fromDDL(schema)
+    parsed = texts.withColumn("_item", F.from_xml(F.col(column), schemas.as_text(wanted), {"rowTag": "item"}))
+    return typed_items(parsed.select("_item.*"), wanted)
 
 
 def tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:

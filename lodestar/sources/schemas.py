@@ -1,5 +1,7 @@
 """Declared schemas of the semi-structured inputs (attributes carry an underscore)."""
 
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
+
 _VALUE = lambda t: f"STRUCT<_value:{t}>"
 
 ITEM = f"""
@@ -23,3 +25,12 @@ _objectid BIGINT, rating STRUCT<_value:STRING>, status STRUCT<_lastmodified:STRI
 """
 
 CORRUPT = "_corrupt_record"
+
+
+def as_text(kind: DataType) -> DataType:
+    """The same shape with every leaf a string."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(as_text(kind.elementType))
+    return StringType()

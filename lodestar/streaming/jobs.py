@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..sources import schemas
+from ..sources.readers import typed_items
 
 
 def ingest_xml(spark: SparkSession, source: str, target: str, checkpoint: str) -> StreamingQuery:
     """Parse XML files that were not seen before and append their items to a table."""
+    wanted = StructType.fromDDL(schemas.ITEM)
     items = (
         spark.readStream.format("xml").option("rowTag", "item").option("pathGlobFilter", "*.xml")
-        .option("recursiveFileLookup", "true").schema(schemas.ITEM).load(source)
+        .option("recursiveFileLookup", "true").schema(schemas.as_text(wanted)).load(source)
     )
-    flat = items.select(
+    flat = typed_items(items, wanted).select(
         F.col("_id").alias("item_id"), F.col("statistics.ratings.usersrated._value").alias("num_ratings")
     )
     return (
