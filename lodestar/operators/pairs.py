@@ -7,21 +7,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import cosine
-from ..session import materialise
-
-
-def pair_tasks(spark) -> int:
-    """Tasks for joins that multiply rows: the session's shuffle partitions, at least its cores."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+from ..session import BROADCAST_ROWS, materialise, spread, wide_tasks
 
 
 def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common: int,
-                block: int = 1024) -> DataFrame:
+                block: int = 1024, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``(a, b, common, dot, sq_a, sq_b)`` for every pair a < b sharing >= ``min_common`` partners.
 
     Exact, with the sums over the shared partners only. The rows are written once
     to the shared folder, because the self-join and its preparation read them
-    several times. Three things keep the self-join on ``via`` from being quadratic
+    several times. A table of at most ``broadcast_rows`` rows is counted first and
+    then sent to every task: each task meets it with its own share of entities, so
+    pairs are summed where they arise and are never shuffled.
+
+    Beyond that size both sides are shuffled, and three things keep the self-join on ``via`` from being quadratic
     in its heaviest key:
 
     * entities with fewer than ``min_common`` partners leave before the join;
@@ -42,6 +41,8 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
         support = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_common)
         rows = rows.join(support.select("e"), "e", "left_semi")
     rows = materialise(rows, "pair-input")
+    if rows.count() <= broadcast_rows:
+        return _sum_pairs(_local_pairs(rows)).filter(F.col("common") >= min_common)
 
     wide = rows.groupBy("v").agg(F.count(F.lit(1)).alias("deg")).filter(F.col("deg") > block)
     # At most ``min_common`` rows reach the driver: the deferred keys, and whether more are wide.
@@ -59,32 +60,40 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
             "v", "e", "x", F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("parts") - 1)).alias("j"))
         right = placed.select(
             "v", "e", "x", F.explode(F.sequence(zero, F.col("own"))).alias("i"), F.col("own").alias("j"))
-    # The input is small next to the pairs it makes; a fixed number of partitions
-    # keeps the runtime from merging them into a few tasks by input size.
-    tasks = pair_tasks(values.sparkSession)
-    left = left.repartition(tasks, "v", "i", "j").toDF("v", "p", "xp", "i", "j")
-    right = right.repartition(tasks, "v", "i", "j").toDF("v", "q", "xq", "i", "j")
+    left = spread(left, "v", "i", "j").toDF("v", "p", "xp", "i", "j")
+    right = spread(right, "v", "i", "j").toDF("v", "q", "xq", "i", "j")
     met = left.join(right, ["v", "i", "j"]).filter("i < j or p < q")
     forward = F.col("p") < F.col("q")
-    sums = (
-        met.select(
-            F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"),
-            F.when(forward, F.col("xp")).otherwise(F.col("xq")).alias("xa"),
-            F.when(forward, F.col("xq")).otherwise(F.col("xp")).alias("xb"),
-        )
-        .groupBy("a", "b")
-        .agg(
-            F.count(F.lit(1)).alias("common"),
-            F.sum(F.col("xa") * F.col("xb")).alias("dot"),
-            F.sum(F.col("xa") * F.col("xa")).alias("sq_a"),
-            F.sum(F.col("xb") * F.col("xb")).alias("sq_b"),
-        )
-    )
+    sums = _sum_pairs(met.select(
+        F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"),
+        F.when(forward, F.col("xp")).otherwise(F.col("xq")).alias("xa"),
+        F.when(forward, F.col("xq")).otherwise(F.col("xp")).alias("xb"),
+    ))
     if deferred:
         sums = _add_deferred(sums, rows, deferred)
     return sums.filter(F.col("common") >= min_common)
 
 
+def _local_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of a small table, partitioned by their first entity.
+
+    Several partitions per core keep the sums of one task small enough for a hash map.
+    """
+    tasks = 8 * wide_tasks(rows.sparkSession)
+    left = rows.select(F.col("e").alias("a"), "v", F.col("x").alias("xa")).repartition(tasks, "a")
+    right = rows.select(F.col("e").alias("b"), "v", F.col("x").alias("xb"))
+    return left.join(F.broadcast(right), "v").filter("a < b")
+
+
+def _sum_pairs(met: DataFrame) -> DataFrame:
+    return met.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("common"),
+        F.sum(F.col("xa") * F.col("xb")).alias("dot"),
+        F.sum(F.col("xa") * F.col("xa")).alias("sq_a"),
+        F.sum(F.col("xb") * F.col("xb")).alias("sq_b"),
+    )
+
+
 def _add_deferred(sums: DataFrame, rows: DataFrame, deferred: list) -> DataFrame:
     """Add what the deferred partners contribute, from one column per deferred key."""
     width = len(deferred)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import BROADCAST_ROWS, materialise, spread, wide_tasks
 from .ordering import top_per_group
 from .pairs import mirror
 
@@ -42,8 +43,9 @@ def neighbour_predictions(chosen: DataFrame, centered: DataFrame, users: DataFra
     and the user's mean is added back. ``users`` carries ``user_id, mean_rating``.
     Weighted ratings are whole tenths, so their sum is exact in any order.
     """
-    weighted = chosen.select(*extra, F.col("a").alias("user_id"), F.col("b").alias("user_b"), "sim").join(
-        centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b"
+    near = chosen.select(*extra, F.col("a").alias("user_id"), F.col("b").alias("user_b"), "sim")
+    weighted = spread(near, "user_b").join(
+        spread(centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b"), "user_b"
     )
     sums = weighted.groupBy(*extra, "user_id", "item_id").agg(
         F.sum(F.rint(F.col("c") * F.col("sim") / 10).cast("long")).alias("total"),
@@ -62,9 +64,10 @@ def neighbour_predictions(chosen: DataFrame, centered: DataFrame, users: DataFra
 def weighted_predictions(chosen: DataFrame, centered: DataFrame, users: DataFrame, n: int,
                          cap: float = 10.0) -> DataFrame:
     """The unrounded variant: mean of rating x similarity plus the user's mean, capped."""
+    near = chosen.select(F.col("a").alias("user_id"), F.col("b").alias("user_b"), "sim")
     sums = (
-        chosen.select(F.col("a").alias("user_id"), F.col("b").alias("user_b"), "sim")
-        .join(centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b")
+        spread(near, "user_b")
+        .join(spread(centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b"), "user_b")
         .groupBy("user_id", "item_id")
         .agg(F.avg(F.col("c") / F.lit(100.0) * F.col("sim")).alias("m"), F.count(F.lit(1)).alias("votes"))
         .filter(F.col("votes") >= n)
@@ -75,14 +78,30 @@ def weighted_predictions(chosen: DataFrame, centered: DataFrame, users: DataFram
     )
 
 
-def item_predictions(similar: DataFrame, centered: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+def _meet_similar(centered: DataFrame, similar: DataFrame, broadcast_rows: int) -> DataFrame:
+    """``(user_id, target, item_id, c, sim)`` for each rated item and each item similar to it.
+
+    The similarity store is written and counted. A small one goes to every task,
+    with the ratings partitioned by user, so that what follows per (user, target)
+    needs no shuffle of the many joined rows; a large one is joined on the item.
+    """
+    known = materialise(similar.select(F.col("a").alias("item_id"), F.col("b").alias("target"), "sim"), "store")
+    rated = centered.select("user_id", "item_id", "c")
+    if known.count() <= broadcast_rows:
+        tasks = 4 * wide_tasks(known.sparkSession)
+        return rated.repartition(tasks, "user_id").join(F.broadcast(known), "item_id")
+    return spread(rated, "item_id").join(spread(known, "item_id"), "item_id")
+
+
+def item_predictions(similar: DataFrame, centered: DataFrame, items: DataFrame, users: DataFrame,
+                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Weighted mean of the user's centred ratings of similar items plus the item's mean.
 
     Only estimates above the user's mean stay. ``similar`` is ``(a, b, sim)`` in
     both directions, ``centered`` in tenths.
     """
     sums = (
-        centered.join(similar.select(F.col("a").alias("item_id"), F.col("b").alias("target"), "sim"), "item_id")
+        _meet_similar(centered, similar, broadcast_rows)
         .groupBy("user_id", "target")
         .agg(
             F.sum(F.col("sim") * F.col("c") / F.lit(10.0)).alias("weighted"),
@@ -101,21 +120,27 @@ def item_predictions(similar: DataFrame, centered: DataFrame, items: DataFrame,
 
 
 def best_similarity_predictions(similar: DataFrame, centered: DataFrame, items: DataFrame, users: DataFrame,
-                                rated: DataFrame, cap: float = 10.0) -> DataFrame:
+                                rated: DataFrame, cap: float = 10.0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The single most similar rated item decides; similarities are rounded to two places.
 
     On a tie the larger source id wins (the later one in id order). The cap comes
-    after rounding; estimates must beat the user's mean and be unrated.
+    after rounding; estimates must beat the user's mean and be unrated. The
+    maximum is taken of one number made of (similarity, source id, rating), which a
+    hash aggregate updates in place; a struct would be sorted instead.
     """
-    candidates = centered.join(
-        similar.select(F.col("a").alias("item_id"), F.col("b").alias("target"), F.bround("sim", 2).alias("s")),
-        "item_id",
-    )
-    best = candidates.groupBy("user_id", "target").agg(
-        F.max(F.struct("s", "item_id", "c")).alias("best")
+    hundredths = F.rint(F.bround("sim", 2) * 100).cast("long")
+    # 8 bits of similarity (-100..100), 46 of source id, 8 of centred rating (-100..100 tenths).
+    key = (hundredths + 128) * F.lit(1 << 54) + F.col("item_id") * F.lit(1 << 8) + (F.col("c") + 128)
+    best = (
+        _meet_similar(centered, similar, broadcast_rows)
+        .groupBy("user_id", "target").agg(F.max(key).alias("key"))
     )
     return (
-        best.select("user_id", F.col("target").alias("item_id"), "best.s", "best.c")
+        best.select(
+            "user_id", F.col("target").alias("item_id"),
+            ((F.shiftright("key", 54) - 128) / F.lit(100)).alias("s"),
+            (F.col("key").bitwiseAND(F.lit(255)) - 128).alias("c"),
+        )
         .join(items.select("item_id", F.col("mean_rating").alias("item_mean")), "item_id")
         .withColumn("estimate", F.least(
             F.bround(F.col("c") / F.lit(10.0) * F.col("s") + F.col("item_mean"), 1), F.lit(cap)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import tables
-from ..session import scratch_path
+from ..session import enough_splits, scratch_path
 from ..sources import writers
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -95,7 +95,7 @@ class Inputs:
     # --- reviews and documents ----------------------------------------------------------
 
     def documents(self) -> DataFrame:
-        return self.table("documents")
+        return enough_splits(self.table("documents"))
 
     def reviews(self) -> DataFrame:
         """Documents as reviews: the source is the item, the document the user."""

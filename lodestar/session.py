@@ -57,6 +57,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+def wide_tasks(spark: SparkSession) -> int:
+    """Tasks for joins that multiply rows: the session's shuffle partitions, at least its cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+# Largest table, in rows of three numbers, that a job sends to every executor (about 50 MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def spread(df, *keys):
+    """Hash-partition by keys before a join whose output is far larger than its input.
+
+    The runtime merges shuffle partitions by input size, which would leave such a
+    join to a few tasks; a given number of partitions is kept as it is.
+    """
+    return df.repartition(wide_tasks(df.sparkSession), *keys)
+
+
+def enough_splits(df):
+    """Spread a scan over the cores when its files give fewer splits than that.
+
+    Only for expensive per-row work on small inputs: a large table has many more
+    splits than there are cores, and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 def materialise(df, label: str = "table"):
     """Cut the lineage of ``df`` by writing it to the shared folder and reading it back."""
     spark = df.sparkSession

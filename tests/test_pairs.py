@@ -36,12 +36,12 @@ def ratings(seed=7, entities=60, partners=40, hot=(0, 1, 2)):
 
 
 @pytest.mark.parametrize("min_common", [1, 2, 3, 5])
-@pytest.mark.parametrize("block", [4, 16, 1000])
-def test_shared_sums(spark, min_common, block):
+@pytest.mark.parametrize("block,small", [(4, 0), (16, 0), (1000, 0), (1000, 10 ** 6)])
+def test_shared_sums(spark, min_common, block, small):
     rows = ratings()
     df = spark.createDataFrame(rows, "e long, v long, x long")
     got = {(r.a, r.b): (r.common, r.dot, r.sq_a, r.sq_b)
-           for r in pairs.shared_sums(df, "e", "v", "x", min_common, block=block).collect()}
+           for r in pairs.shared_sums(df, "e", "v", "x", min_common, block=block, broadcast_rows=small).collect()}
     assert got == brute(rows, min_common)
 
 
@@ -50,7 +50,8 @@ def test_partition_count_does_not_matter(spark):
     results = []
     for n in ("2", "9"):
         spark.conf.set("spark.sql.shuffle.partitions", n)
-        results.append(sorted(pairs.support_cosine(df, "e", "v", "x", 3, block=8).collect()))
+        sums = pairs.shared_sums(df, "e", "v", "x", 3, block=8, broadcast_rows=0)
+        results.append(sorted(sums.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1]
 
@@ -78,12 +79,13 @@ def test_adaptive_support(spark):
     assert got[2] == 0  # fewer candidates than k: all are used
 
 
-def test_item_prediction(spark):
+@pytest.mark.parametrize("small", [0, 10 ** 6])
+def test_item_prediction(spark, small):
     similar = spark.createDataFrame([(1, 9, 0.8), (2, 9, 0.6)], "a long, b long, sim double")
     centered = spark.createDataFrame([(5, 1, 10), (5, 2, -10)], "user_id long, item_id long, c long")
     items = spark.createDataFrame([(9, 7.0)], "item_id long, mean_rating double")
     users = spark.createDataFrame([(5, 6.0)], "user_id long, mean_rating double")
-    row = prediction.item_predictions(similar, centered, items, users).first()
+    row = prediction.item_predictions(similar, centered, items, users, broadcast_rows=small).first()
     assert row.item_id == 9 and round(row.estimate, 4) == 7.1429
 
 
@@ -97,10 +99,11 @@ def test_estimates_are_capped_and_counted(spark):
     assert {r.item_id: r.estimate for r in rounded} == {7: 13.0, 8: 9.0}
 
 
-def test_best_similarity_takes_the_most_similar(spark):
+@pytest.mark.parametrize("small", [0, 10 ** 6])
+def test_best_similarity_takes_the_most_similar(spark, small):
     similar = spark.createDataFrame([(1, 9, 0.9), (2, 9, 0.8), (1, 2, 0.9)], "a long, b long, sim double")
     centered = spark.createDataFrame([(5, 1, 20), (5, 2, -10)], "user_id long, item_id long, c long")
     items = spark.createDataFrame([(9, 5.0), (2, 9.5)], "item_id long, mean_rating double")
     users = spark.createDataFrame([(5, 6.0)], "user_id long, mean_rating double")
-    got = prediction.best_similarity_predictions(similar, centered, items, users, centered).collect()
+    got = prediction.best_similarity_predictions(similar, centered, items, users, centered, broadcast_rows=small).collect()
     assert [(r.item_id, r.estimate) for r in got] == [(9, 6.8)]  # item 2 is rated already
