@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import cosine
-from ..session import BROADCAST_ROWS, materialise, spread, wide_tasks
+from ..session import BROADCAST_ROWS, materialise, spread
 
 
 def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common: int,
@@ -41,10 +42,12 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
         support = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_common)
         rows = rows.join(support.select("e"), "e", "left_semi")
     rows = materialise(rows, "pair-input")
-    if rows.count() <= broadcast_rows:
-        return _sum_pairs(_local_pairs(rows)).filter(F.col("common") >= min_common)
+    degree = rows.groupBy("v").agg(F.count(F.lit(1)).alias("deg"))
+    size = degree.agg(F.sum("deg").alias("rows"), F.sum(F.col("deg") * F.col("deg").cast("double")).alias("work")).first()
+    if (size["rows"] or 0) <= broadcast_rows:
+        return _sum_pairs(_local_pairs(rows, size["work"] or 0.0)).filter(F.col("common") >= min_common)
 
-    wide = rows.groupBy("v").agg(F.count(F.lit(1)).alias("deg")).filter(F.col("deg") > block)
+    wide = degree.filter(F.col("deg") > block)
     # At most ``min_common`` rows reach the driver: the deferred keys, and whether more are wide.
     top = wide.orderBy(F.col("deg").desc(), F.col("v")).limit(max(min_common, 1)).collect()
     deferred = [r["v"] for r in top[: min_common - 1]]
@@ -74,12 +77,13 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
     return sums.filter(F.col("common") >= min_common)
 
 
-def _local_pairs(rows: DataFrame) -> DataFrame:
+def _local_pairs(rows: DataFrame, work: float) -> DataFrame:
     """Pairs of a small table, partitioned by their first entity.
 
-    Several partitions per core keep the sums of one task small enough for a hash map.
+    ``work`` is the number of rows the join looks at; a few million of them per task
+    keep the sums of a task small enough for a hash map.
     """
-    tasks = 8 * wide_tasks(rows.sparkSession)
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, ceil(work / 5e6))
     left = rows.select(F.col("e").alias("a"), "v", F.col("x").alias("xa")).repartition(tasks, "a")
     right = rows.select(F.col("e").alias("b"), "v", F.col("x").alias("xb"))
     return left.join(F.broadcast(right), "v").filter("a < b")

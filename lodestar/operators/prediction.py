@@ -88,7 +88,7 @@ def _meet_similar(centered: DataFrame, similar: DataFrame, broadcast_rows: int)
     known = materialise(similar.select(F.col("a").alias("item_id"), F.col("b").alias("target"), "sim"), "store")
     rated = centered.select("user_id", "item_id", "c")
     if known.count() <= broadcast_rows:
-        tasks = 4 * wide_tasks(known.sparkSession)
+        tasks = max(wide_tasks(known.sparkSession), 4 * known.sparkSession.sparkContext.defaultParallelism)
         return rated.repartition(tasks, "user_id").join(F.broadcast(known), "item_id")
     return spread(rated, "item_id").join(spread(known, "item_id"), "item_id")
 
@@ -130,7 +130,10 @@ def best_similarity_predictions(similar: DataFrame, centered: DataFrame, items:
     """
     hundredths = F.rint(F.bround("sim", 2) * 100).cast("long")
     # 8 bits of similarity (-100..100), 46 of source id, 8 of centred rating (-100..100 tenths).
-    key = (hundredths + 128) * F.lit(1 << 54) + F.col("item_id") * F.lit(1 << 8) + (F.col("c") + 128)
+    fits = F.col("item_id").between(0, (1 << 46) - 1) & F.col("c").between(-128, 127)
+    key = F.when(
+        fits, (hundredths + 128) * F.lit(1 << 54) + F.col("item_id") * F.lit(1 << 8) + (F.col("c") + 128)
+    ).otherwise(F.raise_error(F.lit("item id or centred rating out of range")).cast("long"))
     best = (
         _meet_similar(centered, similar, broadcast_rows)
         .groupBy("user_id", "target").agg(F.max(key).alias("key"))
