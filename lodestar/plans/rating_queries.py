@@ -211,10 +211,11 @@ def cap_values(x):
 
 
 @query("known_item_intersect", BASE + """
-SELECT user_id, item_id, rating_x10 FROM ratings WHERE item_id IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 12)""")
+SELECT user_id, count(*) AS known_items FROM ratings WHERE item_id IN (SELECT p_partkey FROM part) GROUP BY user_id""")
 def known_item_intersect(x):
-    known = x.table("supplier").filter("s_nationkey < 12").select(F.col("s_suppkey").alias("item_id"))
-    return T.matching(x.ratings(), known, ["item_id"])
+    """How many of each user's items are in the catalog of parts."""
+    known = T.matching(x.ratings(), x.items().select("item_id"), ["item_id"])
+    return known.groupBy("user_id").agg(F.count(F.lit(1)).alias("known_items"))
 
 
 @query("x10_matrix", """

@@ -361,10 +361,10 @@ def object_uuid5(x):
     return _objects(x)
 
 
-@query("idempotent_upsert", f"WITH {_UUID_SQL} SELECT * FROM objects WHERE lang IN ('en', 'de', 'fr')")
+@query("idempotent_upsert", f"WITH {_UUID_SQL} SELECT * FROM objects")
 def idempotent_upsert(x):
     objects = _objects(x)
-    return V.upsert(objects.filter("lang in ('en', 'de')"), objects.filter("lang in ('de', 'fr')"))
+    return V.upsert(objects.filter("lang in ('en', 'de')"), objects.filter("lang <> 'en'"))
 
 
 @query("delete_by_uuid", f"WITH {_UUID_SQL} SELECT * FROM objects WHERE lang <> 'en'")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import identity, scalars, text
 from lodestar.functions.fixed_values import ACTUALLY_MAJOR_CATEGORIES, ACTUALLY_MECHANICS, ACTUALLY_THEMES, DROP_SUBCATEGORIES, STOP_WORDS
 from lodestar.operators import conform, evaluation, extract, features, frontier, models, ordering, ratings, reviews, similarity, tables
-from lodestar.sources import readers
+from lodestar.sources import readers, writers
 
 
 def one(spark, expression):
@@ -370,3 +370,38 @@ def test_user_name_comes_from_the_file(spark, tmp_path):
     (tmp_path / "user_ann b.xml").write_text('<items><item objectid="7"><rating value="N/A"/><status lastmodified="2024-01-02 03:04:05"/></item></items>')
     row = readers.user_collections(spark, str(tmp_path)).first()
     assert row.item_id == 7 and row.rating is None and row.lastmodified.year == 2024 and row.username.startswith("ann")
+
+
+@pytest.mark.parametrize("suffix", ["parquet", "tsv", "csv", "jsonl"])
+def test_formats_by_suffix(spark, tmp_path, suffix):
+    df = spark.createDataFrame([(1, "a\tb"), (2, "c,d")], "id long, name string")
+    path = writers.write(df, str(tmp_path / f"t.{suffix}"))
+    assert sorted(readers.read(spark, path, "id long, name string").collect()) == sorted(df.collect())
+
+
+def test_key_value_batches(spark, tmp_path):
+    target = str(tmp_path)
+
+    def put(batch):
+        import json
+        import os
+        import uuid
+
+        with open(os.path.join(target, uuid.uuid4().hex), "w") as out:
+            json.dump(batch, out)
+
+    rows = spark.range(25).select(F.col("id").cast("string").alias("game_id"), F.when(F.col("id") > 3, "x").alias("value"))
+    writers.put_batches(rows.coalesce(1), put, size=10)
+    import json
+
+    batches = [json.load(open(f)) for f in tmp_path.iterdir()]
+    assert sorted(map(len, batches)) == [5, 10, 10]
+    assert {"game_id": "0"} in [r for b in batches for r in b]  # nulls are left out
+
+
+def test_means_are_joined_without_python_or_cross_products(spark):
+    from lodestar.operators import pairs
+
+    df = spark.createDataFrame([(1, 1, 50), (2, 1, 60)], "user_id long, item_id long, rating_x10 int")
+    plan = pairs.centered_item_similarity(df, 1)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan
