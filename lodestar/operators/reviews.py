@@ -11,13 +11,22 @@ from ..functions.fixed_values import (
 from ..functions.identity import uuid5
 from ..functions.scalars import fixed_text, half_even
 from ..functions.text import clean_review, is_quality, strip
+from ..session import materialise
 from .ordering import hashed_rank
 
 
 def quality_table(reviews: DataFrame, more_than: int = QUALITY_TOKENS_TABLE) -> DataFrame:
-    """Reviews with text, cleaned, with more than ``more_than`` tokens left."""
-    cleaned = reviews.filter(F.col("value").isNotNull()).withColumn("value", clean_review(F.col("value")))
-    return cleaned.filter(is_quality(F.col("value"), more_than))
+    """Reviews with text, cleaned, with more than ``more_than`` tokens left.
+
+    The cleaned text is a generated column: a plain one would be cleaned again
+    inside the filter that the optimizer moves below the projection.
+    """
+    others = [c for c in reviews.columns if c != "value"]
+    cleaned = F.inline(F.array(F.struct(clean_review(F.col("value")).alias("value"))))
+    return (
+        reviews.filter(F.col("value").isNotNull()).select(*others, cleaned)
+        .filter(is_quality(F.col("value"), more_than))
+    )
 
 
 def sample_plan(reviews: DataFrame, share: float = SAMPLE_SHARE) -> DataFrame:
@@ -46,7 +55,9 @@ def stratified_reviews(reviews: DataFrame, share: float = SAMPLE_SHARE, minimum:
     """
     strata = reviews.withColumn("stratum", F.bround(F.col("rating_x10") / F.lit(10.0), 0).cast("int"))
     plan = sample_plan(strata, share)
-    quality = quality_table(strata, more_than).select("user_id", "item_id", "rating_x10", "value", "stratum")
+    # Written once: the counts, the ranks and the result all read the cleaned text.
+    quality = materialise(
+        quality_table(strata, more_than).select("user_id", "item_id", "rating_x10", "value", "stratum"), "quality")
     left = quality.groupBy("item_id").agg(F.count(F.lit(1)).alias("quality_n"))
     decided = plan.join(left, "item_id").withColumn(
         "take_all", (F.col("wanted") < minimum) | (F.col("quality_n") <= F.col("wanted"))

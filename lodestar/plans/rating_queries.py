@@ -22,7 +22,7 @@ def distinct_rows(x):
 
 @query("dedup_keep_first", BASE + "SELECT * FROM ratings")
 def dedup_keep_first(x):
-    return x.ratings()
+    return x.first_ratings()
 
 
 @query("active_users", BASE + """
