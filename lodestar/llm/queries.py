@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import sharding
+from . import bpe, packing, sharding, token_counts
 from .tables import documents
 
 QUERIES: dict = {}
@@ -28,3 +28,18 @@ def op1_best_fit_shards(spark, sf_dir):
     return sharding.shard(documents(spark, sf_dir), shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(documents(spark, sf_dir), limit=512)
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark, sf_dir):
+    return bpe.digests(documents(spark, sf_dir))
+
+
+@query("op7_minimum_slack_packing")
+def op7_minimum_slack_packing(spark, sf_dir):
+    return packing.pack_documents(documents(spark, sf_dir), capacity=2048, end_id=0)

@@ -55,10 +55,10 @@ def in_intervals(rows: DataFrame, rank: str, intervals: DataFrame) -> DataFrame:
     """Join each row with the one interval ``[first, last)`` that holds its rank.
 
     Both sides meet in blocks of consecutive ranks, so the join is an equi-join with
-    a bounded number of rows per block however long the intervals are.
+    a bounded number of rows per block however long the intervals are. ``first`` stays.
     """
     blocks = F.sequence(F.floor(F.col("first") / _BLOCK), F.floor((F.col("last") - 1) / _BLOCK))
     spans = intervals.withColumn("_block", F.explode(blocks))
     keyed = rows.withColumn("_block", F.floor(F.col(rank) / _BLOCK))
     inside = (F.col(rank) >= F.col("first")) & (F.col(rank) < F.col("last"))
-    return keyed.join(spans, "_block").where(inside).drop("_block", "first", "last")
+    return keyed.join(spans, "_block").where(inside).drop("_block", "last")
