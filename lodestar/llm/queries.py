@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, packing, sharding, token_counts
-from .tables import documents
+from . import bpe, packing, sharding, token_counts, toxicity
+from .tables import documents, labels
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -43,3 +43,8 @@ def op6_byte_bpe(spark, sf_dir):
 @query("op7_minimum_slack_packing")
 def op7_minimum_slack_packing(spark, sf_dir):
     return packing.pack_documents(documents(spark, sf_dir), capacity=2048, end_id=0)
+
+
+@query("op4_nnpu_toxicity")
+def op4_nnpu_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir), folds=4, held_out=2, threshold=0.3)
