@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, packing, sharding, token_counts, toxicity
+from . import bpe, packing, quality, sharding, token_counts, toxicity
 from .tables import documents, labels
 
 QUERIES: dict = {}
@@ -48,3 +48,8 @@ def op7_minimum_slack_packing(spark, sf_dir):
 @query("op4_nnpu_toxicity")
 def op4_nnpu_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir), folds=4, held_out=2, threshold=0.3)
+
+
+@query("op5_ftrl_quality")
+def op5_ftrl_quality(spark, sf_dir):
+    return quality.score_quality(documents(spark, sf_dir), labels(spark, sf_dir), folds=5, held_out=0, threshold=0.3)
