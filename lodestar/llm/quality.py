@@ -147,3 +147,25 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
     """Fit on the training part of the labelled rows, score all: ``doc_id, held_out, score, predicted``."""
     weights = fit(training_rows(docs, labels, folds, held_out))
     return score(docs, weights, threshold).select("doc_id", is_held_out(folds, held_out).alias("held_out"), "score", "predicted")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``.
+
+    A missing text scores as an empty one. No join: rows pass through the scoring task.
+    """
+    weights, column = fit(training_rows(docs, labels, folds, held_out)), docs.columns.index("text")
+    kept = np.flatnonzero(weights)
+    sparse = (len(weights), kept.astype("i4"), weights[kept].astype("f4"))
+
+    def work(batches):
+        hashed, table = Hasher(), np.zeros(sparse[0])
+        table[sparse[1]] = sparse[2]
+        for batch in batches:
+            good = []
+            for text in batch.column(column).to_pylist():
+                at, values = weigh(hashed(text or ""))
+                good.append(bool(sigmoid(table[at] @ values + table[-1]) >= threshold))
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality, sharding, token_counts, toxicity
+from . import bpe, near_dedup, packing, quality, sharding, token_counts, toxicity
 from .tables import documents, labels
 
 QUERIES: dict = {}
@@ -53,3 +53,8 @@ def op4_nnpu_toxicity(spark, sf_dir):
 @query("op5_ftrl_quality")
 def op5_ftrl_quality(spark, sf_dir):
     return quality.score_quality(documents(spark, sf_dir), labels(spark, sf_dir), folds=5, held_out=0, threshold=0.3)
+
+
+@query("op9_order_minhash")
+def op9_order_minhash(spark, sf_dir):
+    return near_dedup.near_classes(documents(spark, sf_dir), words=5, least=0.8).select("doc_id", "class_id")

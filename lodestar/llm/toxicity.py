@@ -161,19 +161,7 @@ def score(docs: DataFrame, weights: dict[str, float], bias: float, threshold: fl
     def work(batches):
         known: dict[str, tuple] = {}
         for batch in batches:
-            scores = []
-            for text in batch.column(1).to_pylist():
-                if len(known) > REMEMBERED:
-                    known.clear()
-                found = set()
-                for word in words_of(text):
-                    own = known.get(word)
-                    if own is None:
-                        own = known[word] = tuple(f for f in word_features(word) if f in weights)
-                    if own:
-                        found.update(own)
-                total = bias + sum(weights[f] for f in sorted(found))
-                scores.append(1 / (1 + np.exp(-max(-500.0, min(500.0, total)))))
+            scores = [probability(text, weights, bias, known) for text in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     rows = id_and_text(docs)
@@ -188,3 +176,35 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out:
     """
     weights, bias = fit(*training_rows(docs, labels, folds, held_out))
     return score(docs, weights, bias, threshold).select("doc_id", is_held_out(folds, held_out).alias("held_out"), "score", "predicted")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below ``threshold``.
+
+    A missing text scores as an empty one. No join: rows pass through the scoring task.
+    """
+    weights, bias = fit(*training_rows(docs, labels, folds, held_out))
+    column = docs.columns.index("text")
+
+    def work(batches):
+        known: dict[str, tuple] = {}
+        for batch in batches:
+            clean = [probability(text or "", weights, bias, known) < threshold for text in batch.column(column).to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
+def probability(text: str, weights: dict[str, float], bias: float, known: dict[str, tuple]) -> float:
+    """The score of one text; ``known`` remembers the weighted features of words."""
+    if len(known) > REMEMBERED:
+        known.clear()
+    found = set()
+    for word in words_of(text):
+        own = known.get(word)
+        if own is None:
+            own = known[word] = tuple(f for f in word_features(word) if f in weights)
+        if own:
+            found.update(own)
+    total = bias + sum(weights[f] for f in sorted(found))
+    return float(1 / (1 + np.exp(-max(-500.0, min(500.0, total)))))
