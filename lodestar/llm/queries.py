@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, near_dedup, packing, quality, sharding, token_counts, toxicity
+from . import bpe, fingerprints, near_dedup, packing, quality, sharding, token_counts, toxicity
 from .tables import documents, labels
 
 QUERIES: dict = {}
@@ -58,3 +58,8 @@ def op5_ftrl_quality(spark, sf_dir):
 @query("op9_order_minhash")
 def op9_order_minhash(spark, sf_dir):
     return near_dedup.near_classes(documents(spark, sf_dir), words=5, least=0.8).select("doc_id", "class_id")
+
+
+@query("op10_bottom_k_fingerprints")
+def op10_bottom_k_fingerprints(spark, sf_dir):
+    return fingerprints.against_edits(documents(spark, sf_dir), k=64, size=5)
