@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, near_dedup, packing, quality, sharding, token_counts, toxicity
+from . import bpe, divergence, fingerprints, near_dedup, packing, quality, sharding, token_counts, toxicity
 from .tables import documents, labels
 
 QUERIES: dict = {}
@@ -63,3 +63,8 @@ def op9_order_minhash(spark, sf_dir):
 @query("op10_bottom_k_fingerprints")
 def op10_bottom_k_fingerprints(spark, sf_dir):
     return fingerprints.against_edits(documents(spark, sf_dir), k=64, size=5)
+
+
+@query("op3_divergence_rules")
+def op3_divergence_rules(spark, sf_dir):
+    return divergence.judge(documents(spark, sf_dir))
