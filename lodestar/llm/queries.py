@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, fingerprints, near_dedup, packing, quality, sharding, token_counts, toxicity
+from . import bpe, divergence, fingerprints, licenses, near_dedup, packing, quality, sharding, token_counts, toxicity
 from .tables import documents, labels
 
 QUERIES: dict = {}
@@ -68,3 +68,8 @@ def op10_bottom_k_fingerprints(spark, sf_dir):
 @query("op3_divergence_rules")
 def op3_divergence_rules(spark, sf_dir):
     return divergence.judge(documents(spark, sf_dir))
+
+
+@query("op8_patience_licenses")
+def op8_patience_licenses(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir), least=0.8)
