@@ -321,9 +321,9 @@ def keep_one(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY) ->
     classes = near_classes(docs, words, least)
     heads = materialise(classes.where(F.col("key") == F.col("class_key")).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id", "key").agg(
         F.count("*").alias("times")).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "times"), "near-kept")
-    keyed = docs.withColumn("_text_key", text_key("text"))
-    kept = keyed.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))).drop("_id", "_key")
-    once = kept.where("times = 1").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), text_key("text").alias("text_key"))
+    kept = rows.join(heads, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
+    once = kept.where("times = 1").select("row.*")
     if heads.where("times > 1").isEmpty():
         return once
-    return once.unionByName(kept.where("times > 1").dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns))
+    return once.unionByName(kept.where("times > 1").dropDuplicates(["id", "text_key"]).select("row.*"))
