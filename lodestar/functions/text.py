@@ -123,10 +123,16 @@ def add_sentiment(df: DataFrame, column: str, prefixes: dict[str, str], strip_to
     return prepared.withColumn(out, elements).drop("_row", "_heads")
 
 
-def clean_review(text) -> Column:
-    """Only letters, digits and spaces, lower case, stop words out, double spaces collapsed."""
-    text = F.lower(F.regexp_replace(text, "[^A-Za-z0-9 ]+", ""))
-    return F.replace(remove_stop_words(text), F.lit("  "), F.lit(" "))
+def clean_review(text, plain: bool = True, collapse: bool = True) -> Column:
+    """Lower case without stop words.
+
+    ``plain`` keeps ASCII letters, digits and spaces only, which empties reviews in other
+    scripts; ``collapse`` makes double spaces single.
+    """
+    if plain:
+        text = F.regexp_replace(text, "[^A-Za-z0-9 ]+", "")
+    text = remove_stop_words(F.lower(text))
+    return F.replace(text, F.lit("  "), F.lit(" ")) if collapse else text
 
 
 def clean_description(text) -> Column:

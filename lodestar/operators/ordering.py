@@ -2,66 +2,60 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.identity import HASH_BITS, stable_hash
+from ..session import materialise, wide_tasks
+
+# Rows that one sub-bucket of a hashed rank should hold about.
+_BUCKET_ROWS = 100_000
+
 
-_SLICES = 64
+def numbered(df: DataFrame, order: list, label: str = "order", out: str = "rank", tasks: int | None = None) -> DataFrame:
+    """Number rows from 0 in a global order, written once to the shared folder.
+
+    A range shuffle into as many tasks as the session's shuffles have sorts the rows; each
+    keeps its place within its partition, and the partitions' first numbers come from one
+    count per partition. Equal keys are spread by a tie-break in ``order``.
+    """
+    tasks = tasks or wide_tasks(df.sparkSession)
+    placed = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed = materialise(placed.withColumn("_at", F.monotonically_increasing_id()), label)
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = {r[0]: r[1] for r in placed.groupBy(part.alias("p")).count().collect()}
+    starts, total = [], 0
+    for p in range(max(sizes, default=0) + 1):
+        starts.append(total)
+        total += sizes.get(p, 0)
+    # One folded literal: a number per task of the range shuffle.
+    start = F.get(F.from_json(F.lit(json.dumps(starts)), "array<bigint>"), part.cast("int"))
+    return placed.withColumn(out, place + start).drop("_at")
 
 
 def global_rank(df: DataFrame, key: str, tie: str, out: str = "rank", descending: bool = True,
-                slices: int = _SLICES) -> DataFrame:
-    """1-based position in the order (key, tie ascending), computed range by range.
-
-    Quantiles of the key cut the table into ranges (at most ``slices`` numbers
-    reach the driver). A key value that is itself a cut gets a range of its own,
-    which is cut again by ``tie``; so a value shared by a third of all rows is
-    still spread over many tasks. The per-range counts are at most
-    ``4 * slices ** 2`` rows whatever the table holds, so their running sum runs
-    in one task and is broadcast. Key and tie are numeric; null keys come last.
+                tasks: int | None = None) -> DataFrame:
+    """1-based position in the order (key, tie ascending), by ranges that follow the shuffle's size.
+
+    A key value shared by a third of all rows is cut by ``tie``. Null keys come last.
     """
-    probabilities = [i / slices for i in range(1, slices)]
-    cuts_key, cuts_tie = df.approxQuantile([key, tie], probabilities, 1 / (4 * slices))
-    cuts_key, cuts_tie = sorted(set(cuts_key)), sorted(set(cuts_tie))
-
-    def position(col, cuts):
-        total = F.lit(0)
-        for c in cuts:
-            total = total + (F.col(col) > F.lit(c)).cast("int")
-        return total
-
-    on_cut = F.col(key).isin(cuts_key) if cuts_key else F.lit(False)
-    # "x > cut" skips the cut itself: a value on cut i counts i cuts below it, so
-    # its point range 2i comes before the open range 2(i+1)-1 above and after 2i-1.
-    zone = F.when(on_cut, position(key, cuts_key) * 2).otherwise(position(key, cuts_key) * 2 - 1)
-    if descending:
-        zone = -zone
-    zone = F.when(F.col(key).isNull(), F.lit(10 ** 6)).otherwise(zone)
-    sub = F.when(on_cut | F.col(key).isNull(), position(tie, cuts_tie)).otherwise(F.lit(0))
-
-    placed = df.withColumn("_zone", zone).withColumn("_sub", F.coalesce(sub, F.lit(0)))
-    counts = placed.groupBy("_zone", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    running = W.orderBy("_zone", "_sub").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_zone", "_sub", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before")
-    )
-    order = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
-    within = W.partitionBy("_zone", "_sub").orderBy(order, F.col(tie))
-    return (
-        placed.join(F.broadcast(offsets), ["_zone", "_sub"])
-        .withColumn(out, F.col("_before") + F.row_number().over(within))
-        .drop("_zone", "_sub", "_before")
-    )
+    first = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
+    return numbered(df, [first, F.col(tie).asc()], out=out, tasks=tasks).withColumn(out, F.col(out) + 1)
 
 
 def hashed_rank(df: DataFrame, groups: list[str], key: str, seed: int = 42, out: str = "rank",
-                buckets: int = 256) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Rank inside each group by a hash of ``key``, with every group split by the hash's leading part.
 
+    Without ``buckets`` there are as many as the row count asks for, so one group may hold it all.
+
     Sub-buckets are contiguous in hash order, so sub-bucket offset plus the rank
     inside the sub-bucket equals the rank in the whole group; no task ever sorts
     more than one sub-bucket of a hot group.
     """
+    if buckets is None:
+        buckets = 1 << max(4, (df.count() // _BUCKET_ROWS).bit_length())
     hashed = df.withColumn("_h", stable_hash(key, seed=seed))
     hashed = hashed.withColumn("_b", F.floor(F.col("_h") / F.lit((1 << HASH_BITS) // buckets)))
     counts = hashed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))

@@ -8,7 +8,7 @@ from math import ceil
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import cosine
-from ..session import BROADCAST_ROWS, materialise, spread
+from ..session import BROADCAST_ROWS, materialise, wide_tasks
 
 
 def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common: int,
@@ -63,8 +63,10 @@ def shared_sums(values: DataFrame, entity: str, via: str, value: str, min_common
             "v", "e", "x", F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("parts") - 1)).alias("j"))
         right = placed.select(
             "v", "e", "x", F.explode(F.sequence(zero, F.col("own"))).alias("i"), F.col("own").alias("j"))
-    left = spread(left, "v", "i", "j").toDF("v", "p", "xp", "i", "j")
-    right = spread(right, "v", "i", "j").toDF("v", "q", "xq", "i", "j")
+    # The key carries the block, so no partition holds more than a few cells of a heavy partner.
+    tasks = wide_tasks(rows.sparkSession)
+    left = left.repartition(tasks, "v", "i", "j").toDF("v", "p", "xp", "i", "j")
+    right = right.repartition(tasks, "v", "i", "j").toDF("v", "q", "xq", "i", "j")
     met = left.join(right, ["v", "i", "j"]).filter("i < j or p < q")
     forward = F.col("p") < F.col("q")
     sums = _sum_pairs(met.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import BROADCAST_ROWS, materialise, spread, wide_tasks
+from ..session import BROADCAST_ROWS, materialise, wide_tasks
 from .ordering import top_per_group
 from .pairs import mirror
 
@@ -18,17 +18,44 @@ def neighbours_above(pairs: DataFrame, minimum: float = 0.8) -> DataFrame:
     return mirror(pairs).filter(F.col("sim") >= minimum)
 
 
-def adaptive_support(pairs: DataFrame, v: int, k: int) -> DataFrame:
+def adaptive_support(pairs: DataFrame, v: int, k: int, keep_missing: bool = False) -> DataFrame:
     """Per user, the largest support not above ``v`` that leaves at least k candidates.
 
     Closed form of lowering v step by step: one less than the k-th largest common
-    count. With fewer than k candidates all of them are used (support 0).
+    count. With fewer than k candidates all of them are used (support 0), or with
+    ``keep_missing`` the support is null: the pair table may have a floor itself.
     """
     ranked = top_per_group(mirror(pairs), ["a"], [F.col("common").desc(), F.col("b")], k)
     kth = ranked.groupBy("a").agg(
         F.max(F.when(F.col("rank") == k, F.col("common"))).alias("kth")
     )
-    return kth.select("a", F.least(F.lit(v), F.coalesce(F.col("kth") - 1, F.lit(0))).cast("int").alias("support"))
+    enough = F.least(F.lit(v), F.col("kth") - 1)
+    support = F.when(F.col("kth").isNotNull(), enough) if keep_missing else F.when(F.col("kth").isNotNull(), enough).otherwise(0)
+    return kth.select("a", support.cast("int").alias("support"))
+
+
+def lowered_support(values: DataFrame, pairs: DataFrame, users: DataFrame, v: int, k: int, entity: str = "user_id",
+                    via: str = "item_id", value: str = "c") -> DataFrame:
+    """``(a, support, candidates)`` of every user with partners, lowering ``v`` down to 0 if need be.
+
+    ``pairs`` holds the pairs above some floor, both norms positive. Users who find ``k``
+    partners there are done; the others alone are paired again with no floor, so the full
+    pair table is made for those few only.
+    """
+    found = materialise(adaptive_support(pairs, v, k, keep_missing=True), "support")
+    lacking = users.join(found.where("support is not null"), F.col(entity) == F.col("a"), "left_anti").select(entity)
+    rows = values.select(F.col(entity).alias("e"), F.col(via).alias("via"), F.col(value).cast("long").alias("x"))
+    mine = rows.join(lacking.withColumnRenamed(entity, "e"), "e", "left_semi").toDF("a", "via", "xa")
+    low = mine.join(rows.toDF("b", "via", "xb"), "via").where("a <> b").groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("common"), F.sum(F.col("xa") * F.col("xa")).alias("sq_a"), F.sum(F.col("xb") * F.col("xb")).alias("sq_b"))
+    low = materialise(low.where("sq_a > 0 and sq_b > 0").select("a", "b", "common"), "low-support")
+    ranked = top_per_group(low, ["a"], [F.col("common").desc(), F.col("b")], k)
+    lowered = ranked.groupBy("a").agg(F.max(F.when(F.col("rank") == k, F.col("common"))).alias("kth")).select(
+        "a", F.least(F.lit(v), F.coalesce(F.col("kth") - 1, F.lit(0))).cast("int").alias("support"))
+    parts = [(mirror(pairs).select("a", "common"), found.where("support is not null")), (low.select("a", "common"), lowered)]
+    made = [common.join(support, "a").where("common > support").groupBy("a", "support").agg(F.count(F.lit(1)).alias("candidates"))
+            for common, support in parts]
+    return made[0].unionByName(made[1])
 
 
 def apply_support(pairs: DataFrame, support: DataFrame) -> DataFrame:
@@ -44,9 +71,8 @@ def neighbour_predictions(chosen: DataFrame, centered: DataFrame, users: DataFra
     Weighted ratings are whole tenths, so their sum is exact in any order.
     """
     near = chosen.select(*extra, F.col("a").alias("user_id"), F.col("b").alias("user_b"), "sim")
-    weighted = spread(near, "user_b").join(
-        spread(centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b"), "user_b"
-    )
+    # No fixed partitioning: the runtime splits a neighbour that many users share.
+    weighted = near.join(centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b")
     sums = weighted.groupBy(*extra, "user_id", "item_id").agg(
         F.sum(F.rint(F.col("c") * F.col("sim") / 10).cast("long")).alias("total"),
         F.count(F.lit(1)).alias("votes"),
@@ -61,13 +87,33 @@ def neighbour_predictions(chosen: DataFrame, centered: DataFrame, users: DataFra
     )
 
 
+def grid_predictions(near: DataFrame, centered: DataFrame, users: DataFrame, supports, n: int) -> DataFrame:
+    """``(v, user_id, item_id, votes, estimate)`` for every support ``v`` of ``near``.
+
+    As ``neighbour_predictions``, but a pair that is near under several supports meets the
+    neighbour's ratings once: its row carries a flag for each support, and the sums of all
+    supports are columns of one aggregate.
+    """
+    flags = [F.max(F.when(F.col("v") == v, 1).otherwise(0)).alias(f"v{v}") for v in supports]
+    pairs = near.groupBy("a", "b").agg(F.first("sim").alias("sim"), *flags).select(
+        F.col("a").alias("user_id"), F.col("b").alias("user_b"), "sim", *[f"v{v}" for v in supports])
+    met = pairs.join(centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b")
+    met = met.withColumn("w", F.rint(F.col("c") * F.col("sim") / 10).cast("long"))
+    sums = met.groupBy("user_id", "item_id").agg(
+        *[F.sum(F.col("w") * F.col(f"v{v}")).alias(f"t{v}") for v in supports], *[F.sum(f"v{v}").alias(f"n{v}") for v in supports])
+    each = F.explode(F.array(*[F.struct(F.lit(v).alias("v"), F.col(f"t{v}").alias("total"), F.col(f"n{v}").alias("votes")) for v in supports]))
+    rows = sums.select("user_id", "item_id", each.alias("s")).select("user_id", "item_id", "s.*").where(F.col("votes") >= n)
+    rows = rows.withColumn("tenths", F.rint(F.col("total") / F.col("votes"))).where("tenths > 0")
+    return rows.join(users.select("user_id", "mean_rating"), "user_id").select(
+        "v", "user_id", "item_id", "votes", (F.col("tenths") / F.lit(10.0) + F.col("mean_rating")).alias("estimate"))
+
+
 def weighted_predictions(chosen: DataFrame, centered: DataFrame, users: DataFrame, n: int,
                          cap: float = 10.0) -> DataFrame:
     """The unrounded variant: mean of rating x similarity plus the user's mean, capped."""
     near = chosen.select(F.col("a").alias("user_id"), F.col("b").alias("user_b"), "sim")
     sums = (
-        spread(near, "user_b")
-        .join(spread(centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b"), "user_b")
+        near.join(centered.select(F.col("user_id").alias("user_b"), "item_id", "c"), "user_b")
         .groupBy("user_id", "item_id")
         .agg(F.avg(F.col("c") / F.lit(100.0) * F.col("sim")).alias("m"), F.count(F.lit(1)).alias("votes"))
         .filter(F.col("votes") >= n)
@@ -83,14 +129,15 @@ def _meet_similar(centered: DataFrame, similar: DataFrame, broadcast_rows: int)
 
     The similarity store is written and counted. A small one goes to every task,
     with the ratings partitioned by user, so that what follows per (user, target)
-    needs no shuffle of the many joined rows; a large one is joined on the item.
+    needs no shuffle of the many joined rows; a large one is joined on the item, where
+    the runtime splits the rows of a popular item.
     """
     known = materialise(similar.select(F.col("a").alias("item_id"), F.col("b").alias("target"), "sim"), "store")
     rated = centered.select("user_id", "item_id", "c")
     if known.count() <= broadcast_rows:
         tasks = max(wide_tasks(known.sparkSession), 4 * known.sparkSession.sparkContext.defaultParallelism)
         return rated.repartition(tasks, "user_id").join(F.broadcast(known), "item_id")
-    return spread(rated, "item_id").join(spread(known, "item_id"), "item_id")
+    return rated.join(known, "item_id")
 
 
 def item_predictions(similar: DataFrame, centered: DataFrame, items: DataFrame, users: DataFrame,

@@ -154,23 +154,28 @@ def clean_block(ratings: DataFrame, known_items: DataFrame, minimum: int = 5) ->
     return active_users(ratings.join(known_items.select("item_id"), "item_id", "left_semi"), minimum)
 
 
-def fill_unrated(users: DataFrame, catalog: DataFrame, ratings: DataFrame, block: int = 4096) -> DataFrame:
-    """Zero rows for every catalog item a user has not rated.
+def every_item(users: DataFrame, catalog: DataFrame, block: int = 4096) -> DataFrame:
+    """``(user_id, item_id)`` of a stated set of users with all items of the catalog.
 
     The catalog is cut into blocks; a user row is copied once per block and meets
     the block's items in an equi-join, so no task or array holds the catalog.
-    Meant for a chosen user set: its output is users x catalog by definition.
     """
     blocks = catalog.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.lit(1)).alias("b")).scalar()
     items = catalog.select("item_id").withColumn("_b", F.pmod(F.xxhash64("item_id"), blocks))
     wanted = users.select("user_id").withColumn(
         "_b", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     )
-    return (
-        wanted.join(items, "_b")
-        .join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-        .select("user_id", "item_id", F.lit(0).alias("rating_x10"))
-    )
+    return wanted.join(items, "_b").select("user_id", "item_id")
+
+
+def fill_unrated(users: DataFrame, catalog: DataFrame, ratings: DataFrame, block: int = 4096) -> DataFrame:
+    """Zero rows for every catalog item that users of a stated set have not rated.
+
+    The output is users x catalog by definition, so the set must be a chosen one.
+    """
+    rated = ratings.select("user_id", "item_id")
+    return every_item(users, catalog, block).join(rated, ["user_id", "item_id"], "left_anti").select(
+        "user_id", "item_id", F.lit(0).alias("rating_x10"))
 
 
 def surrogate_blocks(users: DataFrame, block: int) -> DataFrame:

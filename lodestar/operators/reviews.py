@@ -15,14 +15,16 @@ from ..session import materialise
 from .ordering import hashed_rank
 
 
-def quality_table(reviews: DataFrame, more_than: int = QUALITY_TOKENS_TABLE) -> DataFrame:
+def quality_table(reviews: DataFrame, more_than: int = QUALITY_TOKENS_TABLE, plain: bool = False, collapse: bool = True) -> DataFrame:
     """Reviews with text, cleaned, with more than ``more_than`` tokens left.
 
+    The table keeps every script and punctuation; samples for prompts are ``plain``.
+
     The cleaned text is a generated column: a plain one would be cleaned again
     inside the filter that the optimizer moves below the projection.
     """
     others = [c for c in reviews.columns if c != "value"]
-    cleaned = F.inline(F.array(F.struct(clean_review(F.col("value")).alias("value"))))
+    cleaned = F.inline(F.array(F.struct(clean_review(F.col("value"), plain, collapse).alias("value"))))
     return (
         reviews.filter(F.col("value").isNotNull()).select(*others, cleaned)
         .filter(is_quality(F.col("value"), more_than))
@@ -57,7 +59,7 @@ def stratified_reviews(reviews: DataFrame, share: float = SAMPLE_SHARE, minimum:
     plan = sample_plan(strata, share)
     # Written once: the counts, the ranks and the result all read the cleaned text.
     quality = materialise(
-        quality_table(strata, more_than).select("user_id", "item_id", "rating_x10", "value", "stratum"), "quality")
+        quality_table(strata, more_than, plain=True, collapse=False).select("user_id", "item_id", "rating_x10", "value", "stratum"), "quality")
     left = quality.groupBy("item_id").agg(F.count(F.lit(1)).alias("quality_n"))
     decided = plan.join(left, "item_id").withColumn(
         "take_all", (F.col("wanted") < minimum) | (F.col("quality_n") <= F.col("wanted"))

@@ -8,7 +8,7 @@ from ..operators import tables
 from ..session import enough_splits, scratch_path
 from ..sources import writers
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str, str], str] = {}
 
 
 class Inputs:
@@ -21,9 +21,18 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def state(self) -> str:
+        """Names, lengths and times of the given files, as the file system lists them."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        listed = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
+        return ";".join(sorted(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in listed))
+
     def written(self, label: str, write) -> str:
-        """Write a derived input once per session into the shared folder; returns its path."""
-        key = (self.spark.sparkContext.applicationId, self.folder, label)
+        """Write a derived input once per session into the shared folder; returns its path.
+
+        Once more if the files of the given tables have changed since.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder, self.state(), label)
         if key not in _WRITTEN:
             path = scratch_path(self.spark, label)
             write(path)

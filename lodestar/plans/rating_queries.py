@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import cap, half_even
-from ..operators import ordering, ratings as R, tables as T
+from ..operators import models, ordering, ratings as R, tables as T
 from ..sources import writers
 from .registry import query
 from .shared_sql import BASE
@@ -211,10 +211,10 @@ def cap_values(x):
 
 
 @query("known_item_intersect", BASE + """
-SELECT user_id, count(*) AS known_items FROM ratings WHERE item_id IN (SELECT p_partkey FROM part) GROUP BY user_id""")
+SELECT user_id, count(*) AS known_items FROM ratings WHERE item_id IN (SELECT p_size FROM part) GROUP BY user_id""")
 def known_item_intersect(x):
-    """How many of each user's items are in the catalog of parts."""
-    known = T.matching(x.ratings(), x.items().select("item_id"), ["item_id"])
+    """How many of each user's items are in a catalog that lacks many: ids up to the largest part size."""
+    known = T.matching(x.ratings(), x.items().select(F.col("size").cast("long").alias("item_id")).distinct(), ["item_id"])
     return known.groupBy("user_id").agg(F.count(F.lit(1)).alias("known_items"))
 
 
@@ -234,13 +234,16 @@ def x10_matrix(x):
 
 
 @query("unrated_fill", BASE + """
-, wanted AS (SELECT DISTINCT user_id FROM ratings), catalog AS (SELECT s_suppkey AS item_id FROM supplier)
+, wanted AS (SELECT user_id FROM (SELECT c_custkey AS user_id, CAST('0x' || substr(md5(c_custkey || ':42'), 1, 10) AS BIGINT) AS h FROM customer) WHERE h % 10000 < 125),
+catalog AS (SELECT s_suppkey AS item_id FROM supplier)
 SELECT w.user_id, c.item_id, 0 AS rating_x10 FROM wanted w, catalog c
 WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = w.user_id AND r.item_id = c.item_id)""")
 def unrated_fill(x):
+    """For the users of the test part alone."""
     ratings = x.ratings()
+    users = models.split_users(x.table("customer").select(F.col("c_custkey").alias("user_id"))).where("part = 'test'")
     catalog = x.table("supplier").select(F.col("s_suppkey").alias("item_id"))
-    return R.fill_unrated(ratings.select("user_id").distinct(), catalog, ratings)
+    return R.fill_unrated(users, catalog, ratings)
 
 
 @query("last_wins_merge", """

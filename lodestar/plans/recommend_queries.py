@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import half_even
 from ..operators import evaluation as E, models, ordering, pairs as P, prediction, ratings as R, synthetic
+from ..session import materialise
 from .registry import query
 from .shared_sql import BASE, ITEM_PAIRS, K, MACRO, N, PREDICTIONS, STORE, USER_NEIGHBOURS, V, pairs, scores, user_pairs
 
@@ -105,15 +106,14 @@ def user_similarity_scaled(x):
     return models.scaled_user_similarity(pairs_).select("a", "b", half_even("scaled", 4).alias("scaled"))
 
 
-@query("adaptive_support", BASE + "," + user_pairs(10) + """
+@query("adaptive_support", BASE + "," + user_pairs(0) + """
 , ranked AS (SELECT a, common, row_number() OVER (PARTITION BY a ORDER BY common DESC, b) AS rn FROM user_pairs_both),
 chosen_v AS (SELECT a, CAST(least(25, coalesce(max(CASE WHEN rn = 100 THEN common END) - 1, 0)) AS INTEGER) AS support FROM ranked GROUP BY a)
 SELECT v.a, support, count(*) AS candidates FROM chosen_v v JOIN user_pairs_both p ON p.a = v.a AND common > support GROUP BY 1, 2""")
 def adaptive_support(x):
+    """The support is lowered below the floor of the shared pairs for the users who need it."""
     pairs_ = P.centered_user_similarity(x.ratings(), 10)
-    support = prediction.adaptive_support(pairs_, 25, 100)
-    return prediction.apply_support(pairs_, support).groupBy("a").agg(F.count(F.lit(1)).alias("candidates")).join(
-        support, "a").select("a", "support", "candidates")
+    return prediction.lowered_support(centered(x), pairs_, x.ratings().select("user_id").distinct(), 25, 100)
 
 
 @query("neighbour_predictions", BASE + "," + PREDICTIONS + "SELECT user_id, item_id, votes, round_even(estimate, 4) AS estimate FROM predictions")
@@ -245,35 +245,59 @@ def cohort_scores(x):
     return _cohort_scores(x)
 
 
-GRID_V, GRID_N = (20, 15, 10), (10, 5)
+GRID_V, GRID_N, GRID_K = (25, 20, 15, 10, 7, 5, 3), (15, 10, 5, 3, 2), 250
 
-_GRID = user_pairs(10) + f"""
-, grid_v AS (SELECT unnest([20, 15, 10]) AS v), grid_n AS (SELECT unnest([10, 5]) AS n),
-gc AS (SELECT v, a, b, sim FROM (
+_GRID_COVERAGE = """
+gcov AS (SELECT v, n, round_even(count(DISTINCT item_id) / (SELECT count(*) FROM supplier) * 100, 2) AS coverage
+         FROM (SELECT p.v, p.n, p.item_id FROM grid_predictions p JOIN user_means u ON u.user_id = p.user_id WHERE estimate > mean_rating) GROUP BY v, n)
+"""
+
+
+def _grid_sql(vs, ns, k: int) -> str:
+    return user_pairs(min(vs)) + f"""
+, grid_v AS (SELECT unnest({list(vs)}) AS v), grid_n AS (SELECT unnest({list(ns)}) AS n),
+gc AS MATERIALIZED (SELECT v, a, b, sim FROM (
   SELECT v, a, b, sim, row_number() OVER (PARTITION BY v, a ORDER BY sim DESC, b) AS rank
-  FROM user_pairs_both, grid_v WHERE common > v) WHERE rank <= {K}),
-gv AS (SELECT v, a AS user_id, cu.item_id, CAST(sum(round_even(cu.c * sim / 10, 0)) AS BIGINT) AS total, count(*) AS votes
+  FROM user_pairs_both, grid_v WHERE common > v) WHERE rank <= {k}),
+gv AS MATERIALIZED (SELECT v, a AS user_id, cu.item_id, CAST(sum(round_even(cu.c * sim / 10, 0)) AS BIGINT) AS total, count(*) AS votes
        FROM gc JOIN cu ON cu.user_id = gc.b GROUP BY 1, 2, 3),
-grid_predictions AS (
+grid_predictions AS MATERIALIZED (
   SELECT v, grid_n.n, gv.user_id, gv.item_id, round_even(total / votes, 0) / 10.0 + mean_rating AS estimate
   FROM gv JOIN user_means u ON u.user_id = gv.user_id JOIN grid_n ON votes >= grid_n.n WHERE round_even(total / votes, 0) > 0),
 """ + scores("grid_predictions", "v, n, ") + f"""
-, gm AS (SELECT v, n, {MACRO} FROM user_scores WHERE overlap > 0 GROUP BY v, n),
-gcov AS (SELECT v, n, round_even(count(DISTINCT item_id) / (SELECT count(*) FROM supplier) * 100, 2) AS coverage
-         FROM (SELECT p.v, p.n, p.item_id FROM grid_predictions p JOIN user_means u ON u.user_id = p.user_id WHERE estimate > mean_rating) GROUP BY v, n)
-"""
+, gm AS (SELECT v, n, {MACRO} FROM user_scores WHERE overlap > 0 GROUP BY v, n),""" + _GRID_COVERAGE
 
 
-def _grid(x):
-    """All parameter choices in one pass: pairs once, a copy of a row per choice it satisfies."""
-    pairs_ = P.mirror(P.centered_user_similarity(x.ratings(), min(GRID_V)))
-    with_v = pairs_.withColumn("v", F.explode(F.filter(F.array(*map(F.lit, GRID_V)), lambda v: F.col("common") > v)))
-    near = ordering.top_per_group(with_v, ["v", "a"], [F.col("sim").desc(), F.col("b")], K)
-    users = R.means(x.ratings(), "user_id")
-    wide = prediction.neighbour_predictions(near, centered(x), users, min(GRID_N), extra=("v",))
-    both = wide.withColumn("n", F.explode(F.filter(F.array(*map(F.lit, GRID_N)), lambda n: F.col("votes") >= n)))
-    macro = E.macro_scores(E.user_scores(both, actual(x), users, extra=("v", "n")), ["v", "n"])
-    return macro.join(E.coverage(both, users, catalog(x), ["v", "n"]).drop("seen"), ["v", "n"])
+_GRID = _grid_sql(GRID_V, GRID_N, GRID_K)
+
+
+def _grid(x, vs=GRID_V, ns=GRID_N, k=GRID_K):
+    """All parameter choices in one pass, written once for the session.
+
+    A pair joins the neighbour's ratings once, with the list of supports under which it is
+    among the ``k`` best; sums for every support come from that one join.
+    """
+    def make(path):
+        pairs_ = P.mirror(P.centered_user_similarity(x.ratings(), min(vs)))
+        with_v = pairs_.withColumn("v", F.explode(F.filter(F.array(*map(F.lit, vs)), lambda v: F.col("common") > v)))
+        near = ordering.top_per_group(with_v, ["v", "a"], [F.col("sim").desc(), F.col("b")], k)
+        users = R.means(x.ratings(), "user_id")
+        wide = prediction.grid_predictions(near, centered(x), users, vs, min(ns))
+        both = wide.withColumn("n", F.explode(F.filter(F.array(*map(F.lit, ns)), lambda n: F.col("votes") >= n)))
+        both = materialise(both, "grid-predictions")
+        macro = E.macro_scores(E.user_scores(both, actual(x), users, extra=("v", "n")), ["v", "n"])
+        macro.join(E.coverage(both, users, catalog(x), ["v", "n"]).drop("seen"), ["v", "n"]).write.parquet(path)
+
+    return x.spark.read.parquet(x.written(f"grid-{vs}-{ns}-{k}", make))
+
+
+# A search over the votes alone, at one support.
+ONLY_N = (30, 25, 20, 15, 10, 5, 3, 2)
+
+
+@query("votes_grid", BASE + "," + _grid_sql((V,), ONLY_N, GRID_K) + "SELECT gm.n, mae, rmse, recall, mean_recommended, median_recommended, users, coverage FROM gm JOIN gcov USING (v, n)")
+def votes_grid(x):
+    return _grid(x, (V,), ONLY_N).drop("v")
 
 
 @query("parameter_grid", BASE + "," + _GRID + "SELECT gm.*, coverage FROM gm JOIN gcov USING (v, n)")
@@ -319,30 +343,43 @@ def bias_baseline(x):
         users.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), half_even("bu", 4).alias("bias")))
 
 
-@query("model_scores", BASE + _bias_sql(3) + """
-, predictions AS (SELECT r.user_id, r.item_id, mu + bi + bu AS estimate FROM ratings r JOIN i3 ON i3.item_id = r.item_id JOIN u3 ON u3.user_id = r.user_id, mu),
-""" + scores("predictions") + f"SELECT {MACRO} FROM user_scores WHERE overlap > 0")
+def hash_sql(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 10) AS BIGINT)"
+
+
+_SPLIT = f"""SELECT user_id, CASE WHEN h % 10000 < 125 THEN 'test' WHEN h % 10000 < 250 THEN 'validation' ELSE 'train' END AS part
+FROM (SELECT c_custkey AS user_id, {hash_sql("c_custkey || ':42'")} AS h FROM customer)"""
+
+
+@query("model_scores", BASE + _bias_sql(10) + f"""
+, chosen AS (SELECT user_id FROM ({_SPLIT}) WHERE part = 'validation'),
+predictions AS (SELECT c.user_id, s_suppkey AS item_id, mu + coalesce(bi, 0) + coalesce(bu, 0) AS estimate FROM chosen c CROSS JOIN supplier CROSS JOIN mu
+  LEFT JOIN i10 ON i10.item_id = s_suppkey LEFT JOIN u10 ON u10.user_id = c.user_id),
+""" + scores("predictions") + f"SELECT {{MACRO}} FROM user_scores WHERE overlap > 0".replace("{MACRO}", MACRO))
 def model_scores(x):
-    """Scores of the bias model over the pairs that can be scored, that is the rated ones."""
+    """Scores of the bias model over all items, for the users of the validation part."""
     ratings = x.ratings()
-    mu, items, users = models.bias_baseline(ratings, sweeps=3)
-    estimates = models.bias_predictions(ratings.select("user_id", "item_id"), mu, items, users)
+    mu, items, users = models.bias_baseline(ratings, sweeps=10)
+    chosen_ = models.split_users(x.table("customer").select(F.col("c_custkey").alias("user_id"))).where("part = 'validation'")
+    estimates = models.bias_predictions(R.every_item(chosen_.select("user_id"), catalog(x)), mu, items, users)
     return E.macro_scores(E.user_scores(estimates, actual(x), R.means(ratings, "user_id")))
 
 
-def hash_sql(text: str) -> str:
-    return f"CAST('0x' || substr(md5({text}), 1, 10) AS BIGINT)"
-
-
-@query("user_split", f"""SELECT user_id, CASE WHEN h % 10000 < 125 THEN 'test' WHEN h % 10000 < 250 THEN 'validation' ELSE 'train' END AS part
-FROM (SELECT c_custkey AS user_id, {hash_sql("c_custkey || ':42'")} AS h FROM customer)""")
+@query("user_split", _SPLIT)
 def user_split(x):
     return models.split_users(x.table("customer").select(F.col("c_custkey").alias("user_id")))
 
 
+@query("cv_folds", BASE + f""", f AS (SELECT rating_x10, CAST({hash_sql("user_id || ':' || item_id || ':42'")} % 3 AS INTEGER) AS fold FROM ratings)
+SELECT fold, count(*) AS held, CAST(sum(rating_x10) AS BIGINT) AS total_x10 FROM f GROUP BY fold""")
+def cv_folds(x):
+    """What each fold of the cross-validation holds out."""
+    return models.folds_of(x.ratings()).groupBy("fold").agg(F.count(F.lit(1)).alias("held"), F.sum("rating_x10").alias("total_x10"))
+
+
 @query("als_cv")
 def als_cv(x):
-    return models.factorisation_cv(x.ratings(), rank=10, iterations=3)
+    return models.factorisation_cv(x.ratings())
 
 
 def _unit_sql(seed: int) -> str:

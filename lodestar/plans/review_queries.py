@@ -36,6 +36,16 @@ def clean_review(e: str) -> str:
     return CLEAN_REVIEW.replace("{e}", e)
 
 
+def table_text(e: str) -> str:
+    """Every script and mark kept."""
+    return f"replace({stop(drop(f'lower({e})', '^$'))}, '  ', ' ')"
+
+
+def sample_text(e: str) -> str:
+    """ASCII letters, digits and spaces; spaces as they fall."""
+    return stop(drop("lower(" + drop(e, "[^A-Za-z0-9 ]+") + ")", "^$"))
+
+
 def tokens(e: str) -> str:
     return TOKENS.replace("{e}", e)
 
@@ -222,7 +232,7 @@ def tfidf_vectors(x):
 REVIEWS = """reviews AS (SELECT CAST(substr(source, 4) AS BIGINT) AS item_id, doc_id AS user_id, CAST(doc_id * 7 % 91 + 10 AS INTEGER) AS rating_x10, text AS value FROM documents)"""
 
 
-@query("quality_review_table", f"""WITH {REVIEWS}, c AS (SELECT item_id, user_id, rating_x10, {clean_review('value')} AS value FROM reviews WHERE value IS NOT NULL)
+@query("quality_review_table", f"""WITH {REVIEWS}, c AS (SELECT item_id, user_id, rating_x10, {table_text('value')} AS value FROM reviews WHERE value IS NOT NULL)
 SELECT * FROM c WHERE {tokens('value')} > 10""")
 def quality_review_table(x):
     return V.quality_table(x.reviews())
@@ -244,7 +254,7 @@ def _sampled(x):
     return V.stratified_reviews(x.reviews(), share=0.5, minimum=5)
 
 
-_CHOSEN = f"""{_PLAN}, q AS (SELECT *, {clean_review('value')} AS cleaned FROM st),
+_CHOSEN = f"""{_PLAN}, q AS (SELECT *, {sample_text('value')} AS cleaned FROM st),
 ok AS (SELECT item_id, stratum, user_id, rating_x10, cleaned, count(*) OVER (PARTITION BY item_id) AS quality_n,
   row_number() OVER (PARTITION BY item_id, stratum ORDER BY substr(md5(user_id || ':42'), 1, 10), user_id) AS rn FROM q WHERE {tokens('cleaned')} > 5),
 chosen AS (SELECT item_id, user_id, stratum, printf('%.1f', rating_x10 / 10.0) || ' ' || cleaned AS combined_review
@@ -256,7 +266,7 @@ def stratified_reviews(x):
     return _sampled(x)
 
 
-@query("stratified_sample", f"""WITH {_PLAN}, q AS (SELECT item_id, stratum, user_id FROM st WHERE {tokens(clean_review('value'))} > 5),
+@query("stratified_sample", f"""WITH {_PLAN}, q AS (SELECT item_id, stratum, user_id FROM st WHERE {tokens(sample_text('value'))} > 5),
 left_ AS (SELECT item_id, count(*) AS quality_n FROM q GROUP BY 1), per AS (SELECT item_id, stratum, count(*) AS available FROM q GROUP BY 1, 2)
 SELECT per.item_id, per.stratum, CASE WHEN wanted < 5 OR quality_n <= wanted THEN available ELSE least(available, quota) END AS sampled
 FROM per JOIN left_ USING (item_id) JOIN plan USING (item_id, stratum)

@@ -36,8 +36,9 @@ def build_session(app_name: str = "lodestar", master: str | None = None, **conf)
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) a fresh temporary
-    folder is made and set as the checkpoint directory.
+    Only on one machine (a local master) that names none a fresh temporary folder is
+    made and set as the checkpoint directory; a cluster without the setting is an error,
+    because its executors could not read each other's files.
     """
     sc = spark.sparkContext
     app = sc.applicationId
@@ -45,6 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return _SCRATCH[app]
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if root is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
@@ -66,15 +69,6 @@ def wide_tasks(spark: SparkSession) -> int:
 BROADCAST_ROWS = 1_000_000
 
 
-def spread(df, *keys):
-    """Hash-partition by keys before a join whose output is far larger than its input.
-
-    The runtime merges shuffle partitions by input size, which would leave such a
-    join to a few tasks; a given number of partitions is kept as it is.
-    """
-    return df.repartition(wide_tasks(df.sparkSession), *keys)
-
-
 def enough_splits(df):
     """Spread a scan over the cores when its files give fewer splits than that.
 

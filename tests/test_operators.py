@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import identity, scalars, text
 from lodestar.functions.fixed_values import ACTUALLY_MAJOR_CATEGORIES, ACTUALLY_MECHANICS, ACTUALLY_THEMES, DROP_SUBCATEGORIES, STOP_WORDS
-from lodestar.operators import conform, evaluation, extract, features, frontier, models, ordering, ratings, reviews, similarity, tables
+from lodestar.operators import pairs, conform, evaluation, extract, features, frontier, models, ordering, pairs, ratings, reviews, similarity, tables
 from lodestar.sources import readers, writers
 
 
@@ -20,13 +20,14 @@ def one(spark, expression):
 
 # --- ranks -------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("tasks", [8, 800])
 @pytest.mark.parametrize("descending", [True, False])
-def test_global_rank_with_a_hot_value_and_nulls(spark, descending):
+def test_global_rank_with_a_hot_value_and_nulls(spark, descending, tasks):
     rng = random.Random(1)
     rows = [(i, 5.0 if i % 3 == 0 else None if i % 50 == 1 else rng.choice([1.0, 2.5, 9.0, 7.25, i / 7])) for i in range(500)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "id long, score double").repartition(5)
-    got = {r.id: r.rank for r in ordering.global_rank(df, "score", "id", descending=descending, slices=8).collect()}
+    got = {r.id: r.rank for r in ordering.global_rank(df, "score", "id", descending=descending, tasks=tasks).collect()}
     order = sorted(rows, key=lambda r: (r[1] is None, 0 if r[1] is None else -r[1] if descending else r[1], r[0]))
     assert got == {r[0]: i + 1 for i, r in enumerate(order)}
 
@@ -40,6 +41,35 @@ def test_hashed_rank_equals_rank_of_the_whole_group(spark):
     assert ranked.withColumn("p", plain).filter("p <> rank").count() == 0
 
 
+def test_quality_table_keeps_other_scripts(spark):
+    from lodestar.operators import reviews
+
+    text = "Очень хорошая игра, и мы будем играть в неё снова: весело, быстро и просто!"
+    df = spark.createDataFrame([(1, 1, 80, text), (2, 1, 80, None)], "user_id long, item_id long, rating_x10 int, value string")
+    assert [r.value for r in reviews.quality_table(df).collect()] == [text.lower()]
+
+
+def test_lowered_support_equals_lowering_step_by_step(spark):
+    from lodestar.operators import prediction
+
+    rng = random.Random(4)
+    rows = [(u, i, rng.choice([-20, -5, 5, 30])) for u in range(40) for i in rng.sample(range(30), rng.randint(1, 22))]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, c long")
+    items = {}
+    for u, i, _ in rows:
+        items.setdefault(u, set()).add(i)
+    want = {}
+    for u in items:
+        common = [len(items[u] & items[o]) for o in items if o != u and items[u] & items[o]]
+        v = 12
+        while v > 0 and sum(n > v for n in common) < 15:
+            v -= 1
+        want[u] = (v, sum(n > v for n in common))
+    high = pairs.support_cosine(df, "user_id", "item_id", "c", 9)
+    got = prediction.lowered_support(df, high, df.select("user_id").distinct(), 12, 15).collect()
+    assert {r.a: (r.support, r.candidates) for r in got} == {u: w for u, w in want.items() if w[1]}
+
+
 @pytest.mark.parametrize("n,tiles", [(10, 3), (29, 29), (61, 29), (5, 29)])
 def test_tile_is_ntile(spark, n, tiles):
     from pyspark.sql import Window as W
