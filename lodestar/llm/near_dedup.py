@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -11,8 +13,10 @@ from ..session import materialise
 from .tables import id_and_text
 
 WORDS, SIMILARITY = 5, 0.8
-# Sketches of MINIMA k-mers each; BAND of them make a bucket, and candidates agree in AGREE.
-SKETCHES, MINIMA, BAND, AGREE = 64, 2, 2, 8
+# Sketches of MINIMA k-mers each; BAND of them make a bucket. Two texts with a shingle resemblance
+# of r agree in r**MINIMA of the sketches. Members are compared with their bucket's hub if they
+# agree in AGREE of them, and with each other if in AGREE_MEMBERS (r of about a half).
+SKETCHES, MINIMA, BAND, AGREE, AGREE_MEMBERS = 64, 2, 2, 8, 16
 # Members of a large bucket meet block by block.
 BLOCK = 256
 REMEMBERED = 500_000
@@ -173,20 +177,25 @@ def lengths_fit(one: str, other: str, least: float) -> Column:
     return F.least(F.col(one), F.col(other)) >= F.greatest(F.col(one), F.col(other)) * least - 1e-9
 
 
+def texts_of(keys: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(key, text)`` of the given text keys, from the row that owns each."""
+    owners = keys.join(nodes.select("key", "owner"), "key").withColumnRenamed("key", "_key")
+    texts = id_and_text(docs).select("doc_id", "text", text_key("text").alias("key"))
+    return texts.join(owners, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("owner"))).select("key", "text")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, least: float, label: str) -> DataFrame:
     """The ``(a, b)`` pairs of text keys whose texts are similar by banded alignment, written once."""
     needed = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    owners = needed.join(nodes.select("key", "owner"), "key").withColumnRenamed("key", "_key")
-    texts = id_and_text(docs).select("doc_id", "text", text_key("text").alias("key"))
-    texts = texts.join(owners, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("owner"))).select("key", "text")
+    texts = texts_of(needed, docs, nodes)
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
     def work(batches):
         for batch in batches:
-            kept = [i for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()))
-                    if similarity(x.split(), y.split(), least) is not None]
+            texts = zip(*(map(str.split, batch.column(c).to_pylist()) for c in (2, 3)))
+            kept = [i for i, (x, y) in enumerate(texts) if bags_fit(x, y, least) and similarity(x, y, least) is not None]
             yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
 
     return materialise(rows.mapInArrow(work, "a binary, b binary"), label)
@@ -215,60 +224,123 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("v").alias("node"), F.col("u").alias("root"))
 
 
-def unsettled_pairs(members: DataFrame, least: float) -> DataFrame:
-    """Candidate pairs within buckets of ``(bucket, hub, size, key, part, n_words, sketch)`` rows.
+def by_block(rows: DataFrame, each, schema: str) -> DataFrame:
+    """Apply ``each`` to the table of every ``(bucket, x, y)`` group of ``rows``, in sorted order.
 
-    ``part`` is the component found so far. Members of different parts are compared by their
-    sketches, in numpy and in blocks of bounded size; only agreeing pairs leave a task. Pairs
-    with the hub have been examined before.
+    Groups are cut out of the stream of batches; one at a time is held.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = members.withColumns({"blocks": blocks, "own": own}).withColumn("other", other).select(
-        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own",
-        "key", "part", "n_words", F.col("sketch"), (F.col("key") == F.col("hub")).alias("is_hub"))
     rows = rows.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
 
-    def meet(group: pa.RecordBatch | pa.Table):
-        key, part = group.column("key").to_pylist(), group.column("part").to_pylist()
-        size = np.asarray(group.column("n_words"))
-        sketch = np.stack([np.asarray(s, np.int32) for s in group.column("sketch").to_pylist()])
-        own, crossing = np.asarray(group.column("own")), group.column("x")[0].as_py() != group.column("y")[0].as_py()
-        hub = np.asarray(group.column("is_hub").to_pylist(), bool)
-        number = np.unique(np.array(part, object), return_inverse=True)[1]
-        for i in range(len(key) - 1):
-            if hub[i]:
-                continue
-            ok = ~hub[i + 1:] & (number[i + 1:] != number[i])
-            ok &= np.minimum(size[i + 1:], size[i]) >= np.maximum(size[i + 1:], size[i]) * least - 1e-9
-            if crossing:
-                ok &= own[i + 1:] != own[i]
-            for j in np.flatnonzero(ok) + i + 1 if ok.any() else ():
-                if (sketch[i] == sketch[j]).sum() >= AGREE:
-                    yield (key[i], key[j]) if key[i] < key[j] else (key[j], key[i])
-
     def work(batches):
         held, last = [], None
-        def out(parts):
-            found = sorted(set(meet(pa.Table.from_batches(parts).combine_chunks())))
-            return pa.record_batch([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], ["a", "b"])
         for batch in batches:
-            names = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "x", "y"))))
-            start = 0
+            names, start = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "x", "y")))), 0
             for at in range(len(names)):
                 if names[at] != last:
                     if at > start:
                         held.append(batch.slice(start, at - start))
                     if held:
-                        yield out(held)
+                        yield from each(pa.Table.from_batches(held).combine_chunks())
                     held, last, start = [], names[at], at
             if start < len(names):
                 held.append(batch.slice(start))
         if held:
-            yield out(held)
+            yield from each(pa.Table.from_batches(held).combine_chunks())
+
+    return rows.mapInArrow(work, schema)
+
+
+def agreeing_pairs(group: pa.Table, least: float) -> list[tuple[int, int, int]]:
+    """``(agreement, i, j)`` of members of different parts, each pair in its first shared bucket only.
+
+    Pairs with the bucket's hub have been examined before.
+    """
+    if len(group) < 2:
+        return []
+    size, own = group.column("n_words").to_numpy(), group.column("own").to_numpy()
+    sketch = group.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(group), -1)
+    hub, band = np.array(group.column("is_hub").to_pylist(), bool), group.column("band")[0].as_py()
+    number: dict[bytes, int] = {}
+    part = np.array([number.setdefault(p, len(number)) for p in group.column("part").to_pylist()])
+    crossing = group.column("x")[0].as_py() != group.column("y")[0].as_py()
+    found = []
+    for i in np.flatnonzero(~hub):
+        ok = ~hub & (part != part[i]) & (np.minimum(size, size[i]) >= np.maximum(size, size[i]) * least - 1e-9)
+        ok[:i + 1] = False
+        if crossing:
+            ok &= own != own[i]
+        others = np.flatnonzero(ok)
+        if not len(others):
+            continue
+        same = sketch[others] == sketch[i]
+        shared = same.reshape(len(others), -1, BAND).all(axis=2)
+        agree = same.sum(axis=1)
+        good = (agree >= AGREE_MEMBERS) & (shared.argmax(axis=1) == band)
+        found += zip(agree[good].tolist(), [int(i)] * int(good.sum()), others[good].tolist())
+    return found
+
+
+def bags_fit(a: list, b: list, least: float) -> bool:
+    """Whether the words that two texts have in common, in any order, allow the similarity."""
+    left = Counter(a)
+    left.subtract(b)
+    common = len(a) - sum(n for n in left.values() if n > 0)
+    return common >= max(len(a), len(b)) * least - 1e-9
+
+
+def linked_members(group: pa.Table, least: float) -> list[tuple[bytes, bytes]]:
+    """Verified links between parts within one block, none between parts already joined there."""
+    key, part = group.column("key").to_pylist(), group.column("part").to_pylist()
+    tokens: dict[int, list[str]] = {}
+    root = {p: p for p in part}
+
+    def find(p):
+        while root[p] != p:
+            root[p] = p = root[root[p]]
+        return p
+
+    def words(i):
+        if i not in tokens:
+            tokens[i] = group.column("text")[i].as_py().split()
+        return tokens[i]
+
+    links = []
+    for _, i, j in sorted(agreeing_pairs(group, least), key=lambda f: (-f[0], f[1], f[2])):
+        one, two = find(part[i]), find(part[j])
+        if one != two and bags_fit(words(i), words(j), least) and similarity(words(i), words(j), least) is not None:
+            root[one] = two
+            links.append((key[i], key[j]) if key[i] < key[j] else (key[j], key[i]))
+    return links
+
+
+def links_between_parts(members: DataFrame, docs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Verified ``(a, b)`` links between components that share buckets, written once.
+
+    ``members`` has ``bucket, band, hub, size, key, part, n_words, sketch``; ``part`` is the
+    component found so far. The members of a bucket meet in blocks of bounded size, first by
+    their sketches; only those that agree with a member of another part come with their texts
+    to be aligned. A block gives at most one link fewer than it has parts.
+    """
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
+    rows = members.withColumns({"blocks": blocks, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "band", "key", "part", "n_words",
+        "sketch", (F.col("key") == F.col("hub")).alias("is_hub"))
+
+    def involved(group: pa.Table):
+        at = sorted({i for _, *pair in agreeing_pairs(group, least) for i in pair})
+        if at:
+            yield from group.take(pa.array(at, pa.int64())).to_batches()
+
+    def linked(group: pa.Table):
+        links = linked_members(group, least)
+        yield pa.record_batch([pa.array([k for k, _ in links], pa.binary()), pa.array([k for _, k in links], pa.binary())], ["a", "b"])
 
-    return rows.mapInArrow(work, "a binary, b binary").distinct()
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    close = materialise(by_block(rows, involved, schema), "near-close")
+    with_text = close.join(texts_of(close.select("key").distinct(), docs, nodes), "key")
+    return materialise(by_block(with_text, linked, "a binary, b binary").distinct(), "near-links")
 
 
 def near_classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY) -> DataFrame:
@@ -287,7 +359,7 @@ def near_classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY)
     rows = materialise(signed(docs, words), "near-rows")
     nodes = materialise(rows.groupBy("key").agg(
         F.min("doc_id").alias("owner"), F.first("n_words").alias("n_words"), F.first("sketch").alias("sketch")), "near-nodes")
-    spread = nodes.where("n_words > 0").select("key", "n_words", F.explode(buckets_of(F.col("sketch"))).alias("bucket"))
+    spread = nodes.where("n_words > 0").select("key", "n_words", F.posexplode(buckets_of(F.col("sketch"))).alias("band", "bucket"))
     tops = materialise(spread.groupBy("bucket").agg(F.min("key").alias("hub"), F.count("*").alias("size")).where("size > 1"), "near-tops")
     stars = spread.join(tops, "bucket").where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b"), F.col("n_words").alias("n_b")).distinct()
     one = nodes.select(F.col("key").alias("a"), F.col("n_words").alias("n_a"), F.col("sketch").alias("sketch_a"))
@@ -299,13 +371,12 @@ def near_classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY)
 
     part = F.coalesce(F.col("root"), F.col("key"))
     placed = spread.join(tops, "bucket").join(parts, F.col("key") == F.col("node"), "left").withColumn("part", part)
-    placed = materialise(placed.select("bucket", "hub", "size", "key", "part"), "near-placed")
-    open_buckets = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
-    members = placed.join(open_buckets, "bucket").join(nodes.select("key", "n_words", "sketch"), "key")
-    more = materialise(unsettled_pairs(members, least), "near-more")
+    placed = materialise(placed.select("bucket", "band", "hub", "size", "key", "part"), "near-placed")
+    apart = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
+    members = placed.join(apart, "bucket").join(nodes.select("key", "n_words", "sketch"), "key")
+    more = links_between_parts(members, docs, nodes, least)
     if not more.isEmpty():
-        edges = edges.unionByName(verified(more, docs, nodes, least, "near-edges"))
-        parts = components(edges)
+        parts = components(edges.unionByName(more))
 
     classes = nodes.select("key", "owner").join(parts, F.col("key") == F.col("node"), "left").select("key", "owner", part.alias("root"))
     heads = classes.groupBy("root").agg(F.min(F.struct("owner", "key")).alias("head"))

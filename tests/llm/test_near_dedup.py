@@ -88,14 +88,22 @@ def test_large_group_and_common_passage(spark):
     assert all(got[i] == i for i in range(300, 900))
 
 
-def test_unsettled_members_meet(spark, monkeypatch):
-    """Two pairs that share buckets with a common hub but not its component, over several blocks."""
+def test_members_apart_from_the_hub_meet(spark, monkeypatch):
+    """Two texts that share a bucket with a hub unlike both, over several blocks."""
     monkeypatch.setattr(near_dedup, "BLOCK", 2)
-    sketch = {k: [i if k in (b"b", b"c") else hash(k) % 1000 for i in range(64)] for k in (b"a", b"b", b"c", b"d", b"e")}
-    rows = [(7, b"a", 5, k, k, 10, sketch[k]) for k in sketch]
-    members = spark.createDataFrame(rows, "bucket bigint, hub binary, size bigint, key binary, part binary, n_words int, sketch array<int>")
-    got = [(bytes(r.a), bytes(r.b)) for r in near_dedup.unsettled_pairs(members, 0.8).collect()]
-    assert (b"b", b"c") in got and not any(b"a" in pair for pair in got)
+    words = {k: [f"{k}{i}" for i in range(40)] for k in "abcde"}
+    words["c"] = [*words["b"][:39], "other"]
+    docs = spark.createDataFrame([(i, " ".join(words[k])) for i, k in enumerate("abcde")], "doc_id bigint, text string")
+    made = near_dedup.OrderMinHash()
+    rows = docs.select("doc_id", near_dedup.text_key("text").alias("key")).collect()
+    key = {"abcde"[r.doc_id]: bytes(r.key) for r in rows}
+    nodes = spark.createDataFrame([(key[k], i) for i, k in enumerate("abcde")], "key binary, owner bigint")
+    sketch = {k: made(words[k]).tolist() for k in "abcde"}
+    band = next(i for i in range(32) if sketch["b"][2 * i:2 * i + 2] == sketch["c"][2 * i:2 * i + 2])
+    members = spark.createDataFrame([(7, band, key["a"], 5, key[k], key[k], 40, sketch[k]) for k in "abcde"],
+                                    "bucket bigint, band int, hub binary, size bigint, key binary, part binary, n_words int, sketch array<int>")
+    got = {(bytes(r.a), bytes(r.b)) for r in near_dedup.links_between_parts(members, docs, nodes, 0.8).collect()}
+    assert got == {tuple(sorted((key["b"], key["c"])))}
 
 
 def test_components_of_a_chain(spark):
