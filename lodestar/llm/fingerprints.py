@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.ordering import numbered
 from ..session import materialise
-from .tables import id_and_text, ranked
+from .tables import id_and_text
 from .wording import let, window_hashes, words
 
 WORDS, K = 5, 64
@@ -82,7 +83,7 @@ def against_edits(docs: DataFrame, k: int = K, size: int = WORDS) -> DataFrame:
     """
     keyed = id_and_text(docs).withColumn("key", F.xxhash64("text"))
     rows = keyed.groupBy("doc_id", "key").agg(F.max(F.char_length("text")).cast("long").alias("n"), F.count("*").alias("times"))
-    order = ranked(rows, ["doc_id", "key"], "finger-order")
+    order = numbered(rows, ["doc_id", "key"], "finger-order")
     total, repeated = order.agg(F.count("*"), F.max("times")).first()
     before = order.select(
         F.pmod(F.col("rank") + 1, F.lit(max(1, total))).alias("rank"), F.col("doc_id").alias("to_id"), F.col("key").alias("to_key"),

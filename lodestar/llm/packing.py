@@ -8,9 +8,10 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.ordering import numbered
 from ..session import materialise
 from .bpe import RANKS, byte_bpe
-from .tables import id_and_text, in_intervals, ranked
+from .tables import id_and_text, in_intervals
 
 CAPACITY = 2048
 SPECIAL = {"<|endoftext|>": 50256}
@@ -125,7 +126,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ``doc_id`` and ``piece``. Lengths must lie in 1..capacity. An empty table gives no rows.
     """
     order = [F.col("length").desc(), F.col("doc_id"), F.col("piece")]
-    placed = ranked(pieces, order, "pack-order")
+    placed = numbered(pieces, order, "pack-order")
     counts = {r[0]: r[1] for r in placed.groupBy("length").count().collect()}
     if counts and not 0 < min(counts) <= max(counts) <= capacity:
         raise ValueError(f"lengths must lie between 1 and {capacity}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import bpe, divergence, fingerprints, licenses, near_dedup, packing, quality, sharding, token_counts, toxicity
+from .divergence_sql import DIVERGENCE_SQL
 from .tables import documents, labels
 
 QUERIES: dict = {}
@@ -65,9 +66,9 @@ def op10_bottom_k_fingerprints(spark, sf_dir):
     return fingerprints.against_edits(documents(spark, sf_dir), k=64, size=5)
 
 
-@query("op3_divergence_rules")
+@query("op3_divergence_rules", DIVERGENCE_SQL)
 def op3_divergence_rules(spark, sf_dir):
-    return divergence.judge(documents(spark, sf_dir))
+    return divergence.judge(documents(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
 @query("op8_patience_licenses")

@@ -6,8 +6,9 @@ import random
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.ordering import numbered
 from ..session import materialise
-from .tables import id_and_text, in_intervals, ranked
+from .tables import id_and_text, in_intervals
 
 # Group sizes with more bits than this are rounded up to so many leading bits, which bounds
 # the size histogram at any scale and wastes less than 1 part in 8,192 of a shard.
@@ -133,12 +134,12 @@ def shard(docs: DataFrame, shards: int | None = 8, capacity: int | None = None)
     extra = F.greatest(F.lit(0), F.length(F.bin("bytes")) - SIZE_BITS)
     unit = F.expr(f"shiftleft(1L, greatest(0, length(bin(bytes)) - {SIZE_BITS}))")
     groups = groups.withColumn("class", F.when(extra == 0, F.col("bytes")).otherwise(F.ceil(F.col("bytes") / unit) * unit))
-    groups = ranked(groups.select("key", "class"), [F.col("class").desc(), F.col("key")], "shard-groups")
+    groups = numbered(groups.select("key", "class"), [F.col("class").desc(), F.col("key")], "shard-groups")
     classes = [(r[0], r[1]) for r in groups.groupBy("class").count().collect()]
     runs = best_fit_decreasing(classes, capacity)[1] if capacity else least_capacity(classes, shards)[1]
     spans = docs.sparkSession.createDataFrame(runs, "first bigint, last bigint, shard int")
     placed = in_intervals(groups.select("key", "rank"), "rank", spans).select("key", "shard")
-    ordered = ranked(keyed.join(placed, "key").drop("key"), ["shard", "doc_id", "text_crc32"], "shard-slots")
+    ordered = numbered(keyed.join(placed, "key").drop("key"), ["shard", "doc_id", "text_crc32"], "shard-slots")
     firsts = ordered.groupBy("shard").agg(F.min("rank").alias("start"))
     return ordered.join(firsts, "shard").select(
         "doc_id", "size", "text_crc32", "shard", (F.col("rank") - F.col("start")).alias("slot"))

@@ -1,15 +1,9 @@
-"""Reading documents, global numbering and interval lookup, shared by the operators of this folder."""
+"""Reading documents and interval lookup, shared by the operators of this folder."""
 
 from __future__ import annotations
 
-import json
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from ..session import materialise, wide_tasks
-
-# Columns that every stage and operator understands; others are ignored.
-DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 _BLOCK = 4096
 
 
@@ -26,31 +20,6 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def constant(values: list, kind: str) -> Column:
-    """A literal of a bounded driver-side list, folded once by the optimiser."""
-    return F.from_json(F.lit(json.dumps(values)), kind)
-
-
-def ranked(rows: DataFrame, order: list, label: str, rank: str = "rank") -> DataFrame:
-    """Number rows from 0 in a global order, written once to the shared folder.
-
-    A range shuffle sorts the rows; each keeps its place within its partition, and
-    the partitions' first numbers come from one count per partition. No window over
-    the whole table, and equal keys may be spread by adding a tie-break to ``order``.
-    """
-    tasks = wide_tasks(rows.sparkSession)
-    placed = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
-    placed = materialise(placed.withColumn("_at", F.monotonically_increasing_id()), label)
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = {r[0]: r[1] for r in placed.groupBy(part.alias("p")).count().collect()}
-    starts, total = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        starts.append(total)
-        total += sizes.get(p, 0)
-    start = F.get(constant(starts or [0], "array<bigint>"), part.cast("int"))
-    return placed.withColumn(rank, place + start).drop("_at")
-
-
 def in_intervals(rows: DataFrame, rank: str, intervals: DataFrame) -> DataFrame:
     """Join each row with the one interval ``[first, last)`` that holds its rank.
 
