@@ -361,6 +361,14 @@ def min_max_scale(x):
 _NUMERIC = f"""{_SCALED}, numeric_features AS (SELECT item_id, 'size' AS feature, size AS weight FROM scaled UNION ALL SELECT item_id, 'price', price FROM scaled)"""
 
 
+def numeric_block(x):
+    return Fe.numeric_features(x.items(), _RANGES)
+
+
+NUMERIC_SQL, FLOORED_SQL = _NUMERIC, _FLOORED
+floored_features = _floored
+
+
 @query("numeric_features", f"WITH {_NUMERIC} SELECT item_id, 'numeric' AS grp, feature, round_even(weight, 4) AS weight FROM numeric_features")
 def numeric_features(x):
     return Fe.numeric_features(x.items(), _RANGES).withColumn("weight", half_even("weight", 4))
