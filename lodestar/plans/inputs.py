@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.fixed_values import ACTUALLY_MAJOR_CATEGORIES, ACTUALLY_MECHANICS, ACTUALLY_THEMES, DROP_SUBCATEGORIES
 from ..operators import tables
 from ..session import enough_splits, scratch_path
 from ..sources import writers
 
+CATALOG_CATEGORIES = [
+    *DROP_SUBCATEGORIES, *ACTUALLY_MECHANICS, *ACTUALLY_THEMES[:20], *ACTUALLY_MAJOR_CATEGORIES, "Card Game", "Puzzle"]
+
 _WRITTEN: dict[tuple[str, str, str, str], str] = {}
 
 
@@ -217,6 +221,15 @@ class Inputs:
     def item_files(self) -> str:
         return self.written("items", lambda path: writers.write_items(self.nested(), path))
 
+    def catalog_files(self) -> str:
+        """The nested items with one more category each, by size, from the rule lists and beside them."""
+        names = F.array(*map(F.lit, CATALOG_CATEGORIES))
+        more = F.struct(
+            F.lit("boardgamecategory").alias("_type"), F.get(names, F.col("yearpublished._value") % len(CATALOG_CATEGORIES)).alias("_value"),
+            F.lit(None).cast("string").alias("_inbound"))
+        items = self.nested().withColumn("link", F.concat("link", F.array(more)))
+        return self.written("catalog", lambda path: writers.write_items(items, path))
+
     def comment_files(self) -> str:
         """Rating pages: an item element per comment, so that no item is gathered in one task."""
         comment = F.struct(

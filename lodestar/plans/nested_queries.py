@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import extract as X
+from ..functions.fixed_values import (
+    ACTUALLY_MAJOR_CATEGORIES, ACTUALLY_MECHANICS, ACTUALLY_THEMES, DROP_SUBCATEGORIES, MECHANIC_GROUPS, RARE_THRESHOLDS,
+)
+from ..operators import catalog, extract as X
 from ..session import scratch_path
 from ..sources import readers, writers
 from ..streaming import jobs
+from .inputs import CATALOG_CATEGORIES
 from .registry import query
 
 
@@ -162,11 +166,61 @@ def xml_compaction(x):
     return writers.compact_xml(x.spark, source, target)
 
 
-@query("file_manifest", "SELECT 'xml' AS suffix, true AS found, true AS sized")
+@query("file_manifest", "SELECT 'grp=group' || p_size % 7 AS folder, true AS sized, count(*) FILTER (p_size < 0) AS others FROM part GROUP BY 1")
 def file_manifest(x):
-    files = readers.manifest(x.spark, x.item_files(), "xml")
-    return files.agg((F.count(F.lit(1)) > 0).alias("found"), (F.sum("length") > 0).alias("sized")).select(
-        F.lit("xml").alias("suffix"), "found", "sized")
+    """Listed item files by folder: one folder per group of sizes, and nothing with another suffix."""
+    grouped = x.nested().withColumn("grp", F.concat(F.lit("group"), (F.col("yearpublished._value") - 1950).cast("int") % 7))
+    path = x.written("manifest", lambda p: writers.write_items(grouped, p, by="grp"))
+    folder = F.element_at(F.split("path", "/"), -2)
+    return readers.manifest(x.spark, path, "xml").groupBy(folder.alias("folder")).agg(
+        (F.min("length") > 0).alias("sized"), F.count_if(~F.endswith("path", F.lit(".xml"))).alias("others"))
+
+
+# --- the catalog job ------------------------------------------------------------------------------
+
+_NAMES = "[" + ", ".join("'" + n.replace("'", "''") + "'" for n in CATALOG_CATEGORIES) + "]"
+
+
+def _in(names) -> str:
+    return "(" + ", ".join("'" + n.replace("'", "''") + "'" for n in names) + ")"
+
+
+_ACCEPTED = f"""{COUNTS}, k AS (SELECT p_partkey AS item_id, part.*, n, {_NAMES}[(p_size + 1950) % {len(CATALOG_CATEGORIES)} + 1] AS category
+  FROM part JOIN c ON l_partkey = p_partkey WHERE n >= 30 AND p_size + 1950 <= 1990)"""
+
+_MERGED = "CASE " + " ".join(f"WHEN lower(value) LIKE '%{k}%' THEN '{v}'" for k, v in MECHANIC_GROUPS.items()) + " ELSE value END"
+
+
+@query("catalog_bridges", f"""WITH {_ACCEPTED},
+cat AS (SELECT item_id, p_type AS value FROM k UNION ALL SELECT item_id, category FROM k),
+mech AS (SELECT item_id, unnest(string_split(p_name, ' ')) AS value FROM k UNION ALL SELECT item_id, 'Legacy' FROM k WHERE p_size % 7 = 0
+  UNION ALL SELECT item_id, CASE {' '.join("WHEN value = '" + a + "' THEN '" + b + "'" for a, b in ACTUALLY_MECHANICS.items())} END FROM cat WHERE value IN {_in(ACTUALLY_MECHANICS)})
+SELECT DISTINCT item_id, 'theme' AS kind, value FROM cat WHERE value IN {_in(ACTUALLY_THEMES)}
+UNION ALL SELECT DISTINCT item_id, 'category', value FROM cat WHERE value NOT IN {_in([*DROP_SUBCATEGORIES, *ACTUALLY_MECHANICS, *ACTUALLY_THEMES, *ACTUALLY_MAJOR_CATEGORIES])}
+UNION ALL SELECT DISTINCT item_id, 'mechanic', {_MERGED} FROM mech WHERE {_MERGED} NOT ILIKE '%turn order%'
+UNION ALL SELECT item_id, 'designer', p_brand FROM k WHERE p_brand IN (SELECT p_brand FROM k GROUP BY 1 HAVING count(*) > {RARE_THRESHOLDS['designer']})
+UNION ALL SELECT item_id, 'publisher', 'House ' || p_size FROM k WHERE p_size IN (SELECT p_size FROM k GROUP BY 1 HAVING count(*) > {RARE_THRESHOLDS['publisher']})""")
+def catalog_bridges(x):
+    """XML to the pruned and routed bridges of the items that pass the gate."""
+    return catalog.bridges(catalog.accepted(readers.xml_items(x.spark, x.catalog_files()), 1990))
+
+
+_MAJOR_FLAGS = ", ".join(f"CAST(category = '{name.replace(chr(39), chr(39) * 2)}' AS TINYINT) AS \"{flag}\"" for name, flag in ACTUALLY_MAJOR_CATEGORIES.items())
+
+
+@query("catalog_fact", f"""WITH {_ACCEPTED}, total AS (SELECT count(*) AS rows_ FROM k), houses AS (SELECT p_size AS house, count(*) AS held FROM k GROUP BY 1)
+SELECT CAST(item_id AS SMALLINT) AS item_id, p_name AS name, CAST(p_size + 1950 AS SMALLINT) AS year, CAST(CASE WHEN p_size % 5 = 0 THEN 2 ELSE p_size % 5 END AS TINYINT) AS min_players,
+  CAST(least(p_size * 10, 480) AS SMALLINT) AS playtime, CAST(n AS TINYINT) AS num_ratings, p_retailprice / 100 AS avg_rating,
+  CAST(p_partkey + 1 AS SMALLINT) AS "Rank:boardgame", CAST(CASE WHEN p_size % 3 = 0 THEN (SELECT rows_ + 1 FROM total) ELSE p_size END AS SMALLINT) AS "Rank:thematic",
+  CAST(p_size % 3 <> 0 AS TINYINT) AS "Cat:Thematic", {_MAJOR_FLAGS}, CAST(p_size % 5 = 0 AS TINYINT) AS kickstarted, CAST(held <= {RARE_THRESHOLDS['publisher']} AS TINYINT) AS low_entry,
+  CASE WHEN p_size % 2 = 0 THEN string_split(p_name, ' ')[2] WHEN p_size % 3 = 0 THEN string_split(p_name, ' ')[1] END AS family
+FROM k JOIN houses ON house = p_size""")
+def catalog_fact(x):
+    """XML to the clean fact table: gate, attributes, ranks, flags and narrow integers."""
+    table = catalog.facts(catalog.accepted(readers.xml_items(x.spark, x.catalog_files()), 1990), ["Rank:boardgame", "Rank:thematic"])
+    return table.select(
+        "item_id", "name", "year", "min_players", "playtime", "num_ratings", "avg_rating", "`Rank:boardgame`", "`Rank:thematic`", "`Cat:Thematic`",
+        *[f"`{flag}`" for flag in ACTUALLY_MAJOR_CATEGORIES.values()], "kickstarted", "low_entry", "family")
 
 
 # --- streams, run until nothing is left -------------------------------------------------------
