@@ -75,26 +75,35 @@ def base_rules(docs: DataFrame, *keep: str) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(*keep, text.alias("_text"))
-    counts = {name: F.char_length(F.regexp_replace("_text", pattern, "")).cast("long") for name, pattern in CLASSES.items()}
     def measured(w):
         return F.struct(F.size(w).cast("long").alias("n_words"), F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
                         repeated_words(w).alias("n_repeat_words"))
     rows = rows.select(
-        *keep, F.char_length("_text").cast("long").alias("_chars"), *[c.alias(f"_{name}") for name, c in counts.items()],
-        let(words(F.col("_text")), measured).alias("_w"), duplicate_lines(F.col("_text")).alias("n_dup_lines"),
-        words(F.lower("_text")).alias("_lower"))
+        *keep, class_counts(F.col("_text")).alias("_classes"), let(words(F.col("_text")), measured).alias("_w"),
+        duplicate_lines(F.col("_text")).alias("n_dup_lines"), words(F.lower("_text")).alias("_lower"))
     return rows.select(
-        *keep, "_w.n_words", "_w.word_chars", F.col("_symbol").alias("n_symbols"), "n_dup_lines", "_w.n_repeat_words",
+        *keep, "_w.n_words", "_w.word_chars", F.get("_classes", F.lit(2)).alias("n_symbols"), "n_dup_lines", "_w.n_repeat_words",
         ((F.col("_w.n_words") < 10) | (100 * F.col("_w.n_repeat_words") > 20 * F.col("_w.n_words"))).alias("base_failed"),
-        class_counts().alias("_classes"), "_lower")
+        F.col("_classes").cast("array<double>").alias("_classes"), "_lower")
 
 
-def class_counts() -> Column:
-    """Upper-case letters, digits, symbols, other marks, white space, and all the rest."""
-    white = F.col("_chars") - F.col("_w.word_chars")
-    named = F.col("_upper") + F.col("_digit") + F.col("_mark")
-    return F.array(F.col("_upper"), F.col("_digit"), F.col("_symbol"), F.col("_mark") - F.col("_symbol"), white,
-                   F.greatest(F.lit(0).cast("long"), F.col("_chars") - named - white)).cast("array<double>")
+def class_counts(text: Column) -> Column:
+    """Upper-case letters, digits, symbols, other marks, white space, and all the rest of a text.
+
+    Plain lower-case letters belong to no named class; without them the classes' patterns meet
+    a third of the text.
+    """
+    def left(rest, pattern):
+        return F.char_length(F.regexp_replace(rest, pattern, "")).cast("long")
+
+    def counted(rest):
+        upper, digit, symbol, mark = (left(rest, CLASSES[name]) for name in ("upper", "digit", "symbol", "mark"))
+        white = left(rest, r"[^\x20\x09-\x0D]+")
+        return let(F.array(upper, digit, symbol, mark, white), lambda c: F.array(
+            c[0], c[1], c[2], c[3] - c[2], c[4],
+            F.greatest(F.lit(0).cast("long"), F.char_length(text).cast("long") - c[0] - c[1] - c[3] - c[4])))
+
+    return let(F.regexp_replace(text, "[a-z]+", ""), counted)
 
 
 def references(docs: DataFrame) -> DataFrame:
@@ -105,16 +114,11 @@ def references(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), text.alias("_text"))
-    counts = {name: F.char_length(F.regexp_replace("_text", pattern, "")).cast("long") for name, pattern in CLASSES.items()}
-    white = F.char_length(F.regexp_replace("_text", r"[^\x20\x09-\x0D]+", ""))
-    chars = F.char_length("_text").cast("long")
-    named = counts["upper"] + counts["digit"] + counts["mark"]
-    parts = [counts["upper"], counts["digit"], counts["symbol"], counts["mark"] - counts["symbol"], white, F.greatest(F.lit(0).cast("long"), chars - named - white)]
-    classes = rows.groupBy("lang").agg(*[F.sum(c).alias(f"c{i}") for i, c in enumerate(parts)])
-    classes = classes.select("lang", F.array(*[f"c{i}" for i in range(len(parts))]).cast("array<double>").alias("counts"))
+    classes = rows.select("lang", class_counts(F.col("_text")).alias("c")).groupBy("lang").agg(
+        F.array(*[F.sum(F.get("c", F.lit(i))) for i in range(6)]).cast("array<double>").alias("counts"))
 
     counted = materialise(rows.select("lang", F.explode(words(F.lower("_text"))).alias("word")).groupBy("lang", "word").count(), "word-counts")
-    totals = counted.groupBy("lang").agg(F.sum("count").alias("all"))
+    totals = few(materialise(counted.groupBy("lang").agg(F.sum("count").alias("all")), "language-totals"))
     order = Window.partitionBy("lang").orderBy(F.col("count").desc(), "word")
     common = counted.join(totals, "lang").where(F.col("count") >= LEAST_SHARE * F.col("all"))
     common = common.withColumn("place", F.row_number().over(order)).where(F.col("place") <= COMMON_WORDS)
@@ -128,6 +132,11 @@ def references(docs: DataFrame) -> DataFrame:
     return materialise(joined.select("lang", "class_ref", "common", F.concat("s", F.array(rest)).alias("word_ref")), "language-references")
 
 
+def few(languages: DataFrame) -> DataFrame:
+    """A written table of a row per language, to be broadcast if its count allows it."""
+    return F.broadcast(languages) if languages.count() <= BROADCAST_LANGUAGES else languages
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """``doc_id``, the base counts, ``class_distance, word_distance, base_failed, kept``.
 
@@ -136,8 +145,7 @@ def judge(docs: DataFrame) -> DataFrame:
     one and fails the base rules; a missing language is a language of its own. Repeated rows are
     all returned, an empty table gives no rows, extra columns are ignored.
     """
-    refs = references(docs)
-    refs = F.broadcast(refs) if refs.count() <= BROADCAST_LANGUAGES else refs
+    refs = few(references(docs))
     rows = docs.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("lang"))
     rows = base_rules(rows, "doc_id", "lang").join(refs, "lang")
     def histogram(found, common):
