@@ -10,10 +10,10 @@ from lodestar.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    warehouse, shared = (str(tmp_path_factory.mktemp(name)) for name in ("warehouse", "shared"))
     session = build_session(
         "lodestar-tests", master="local[4]",
-        **{"spark.sql.shuffle.partitions": 4, "spark.sql.warehouse.dir": warehouse, "spark.driver.memory": "6g",
+        **{"spark.sql.shuffle.partitions": 4, "spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": shared, "spark.driver.memory": "6g",
            "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")

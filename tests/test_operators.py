@@ -435,3 +435,37 @@ def test_means_are_joined_without_python_or_cross_products(spark):
     df = spark.createDataFrame([(1, 1, 50), (2, 1, 60)], "user_id long, item_id long, rating_x10 int")
     plan = pairs.centered_item_similarity(df, 1)._jdf.queryExecution().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error(monkeypatch):
+    from types import SimpleNamespace
+
+    from lodestar import session
+
+    context = SimpleNamespace(applicationId="none", master="yarn", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(SimpleNamespace(sparkContext=context))
+
+
+def test_skewed_join_is_split_by_the_runtime(spark):
+    """The final plan of the neighbours' join marks the split of a user that many share."""
+    from lodestar.operators import prediction
+
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+             "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        chosen = spark.range(0, 40000, 1, 8).select(
+            F.col("id").alias("a"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 500).alias("b"), F.lit(0.9).alias("sim"))
+        rated = spark.range(500).select(F.col("id").alias("user_id"), F.lit(1).alias("item_id"), F.lit(50).alias("c"))
+        users = spark.range(40000).select(F.col("id").alias("user_id"), F.lit(5.0).alias("mean_rating"))
+        out = prediction.neighbour_predictions(chosen, rated, users, 1)
+        assert out.count() == 40000
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
