@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import half_even
 from ..operators import evaluation as E, models, ordering, pairs as P, prediction, ratings as R, synthetic
 from ..session import materialise
-from .registry import query
+from .registry import query, sql_of
 from .shared_sql import BASE, ITEM_PAIRS, K, MACRO, N, PREDICTIONS, STORE, USER_NEIGHBOURS, V, pairs, scores, user_pairs
 
 
@@ -50,6 +50,12 @@ def co_rating_pairs(x):
     return P.shared_sums(x.ratings(), "item_id", "user_id", "rating_x10", 11).select("a", "b", "common", "dot")
 
 
+@query("co_rating_pairs_shuffled", sql_of("co_rating_pairs"))
+def co_rating_pairs_shuffled(x):
+    """The same by the block join that a large table takes."""
+    return P.shared_sums(x.ratings(), "item_id", "user_id", "rating_x10", 11, broadcast_rows=0).select("a", "b", "common", "dot")
+
+
 @query("co_user_pairs", BASE + "," + user_pairs(V) + "SELECT a, b, common, dot FROM user_pairs_sums")
 def co_user_pairs(x):
     return P.shared_sums(centered(x), "user_id", "item_id", "c", V + 1).select("a", "b", "common", "dot")
@@ -143,6 +149,15 @@ def item_based_predictions(x):
     return out.withColumn("estimate", half_even("estimate", 4))
 
 
+@query("item_based_predictions_shuffled", sql_of("item_based_predictions"))
+def item_based_predictions_shuffled(x):
+    """The same by the join that a large store takes."""
+    ratings = x.ratings()
+    out = prediction.item_predictions(
+        store(x), R.center(ratings, "item_id"), R.means(ratings, "item_id"), R.means(ratings, "user_id"), broadcast_rows=0)
+    return out.withColumn("estimate", half_even("estimate", 4))
+
+
 @query("best_similarity_predictions", BASE + "," + STORE + """
 , cand AS (SELECT user_id, b AS target, round_even(sim, 2) AS s, cx.item_id, c FROM cx JOIN store ON a = cx.item_id),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, target ORDER BY s DESC, item_id DESC) AS rn FROM cand) WHERE rn = 1),

@@ -17,3 +17,8 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return wrap
+
+
+def sql_of(name: str) -> str | None:
+    """The SQL of a query registered before, for another plan of the same result."""
+    return REGISTRY[name][1]
