@@ -243,10 +243,11 @@ def stream_dedup(x):
 
 
 @query("stream_item_stats", """
-SELECT event_type, count(*) AS n, round_even(sum(value), 2) AS total, round_even(sum(value * value), 2) AS total_sq FROM events GROUP BY event_type""")
+WITH u AS (SELECT event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events)
+SELECT event_type, count(*) AS n, CAST(sum(cents) AS BIGINT) / 100 AS total, CAST(sum(cents * cents) AS BIGINT) / 10000 AS total_sq FROM u GROUP BY event_type""")
 def stream_item_stats(x):
     target, checkpoint = scratch_path(x.spark, "stats"), scratch_path(x.spark, "checkpoint")
     events = jobs.read_events(x.spark, x.folder, "events.parquet", x.table("events").schema)
     jobs.item_stats(events, "event_type", "value", target, checkpoint).awaitTermination()
     latest = jobs.latest_stats(x.spark, target, "event_type")
-    return latest.select("event_type", "n", F.bround("total", 2).alias("total"), F.bround("total_sq", 2).alias("total_sq"))
+    return latest.select("event_type", "n", "total", "total_sq")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -42,21 +44,30 @@ def write_append(stream: DataFrame, target: str, checkpoint: str) -> StreamingQu
     )
 
 
-def item_stats(stream: DataFrame, key: str, value: str, target: str, checkpoint: str) -> StreamingQuery:
+# Batches after which the folders of changed keys are merged into one.
+MERGE_EVERY = 50
+
+
+def item_stats(stream: DataFrame, key: str, value: str, target: str, checkpoint: str, unit: int = 100,
+               merge_every: int = MERGE_EVERY) -> StreamingQuery:
     """Running count, sum and sum of squares per key in update mode.
 
-    Each micro-batch writes the keys it changed to its own folder, overwritten if
-    the batch is replayed, so a restart cannot count anything twice. State is one
-    small row per key.
+    Values are counted in whole units (hundredths), so the sums do not depend on the order of
+    arrival. Each micro-batch writes the keys it changed to its own folder, overwritten if
+    the batch is replayed, so a restart cannot count anything twice; every ``merge_every``
+    batches the newest row of each key so far goes to one folder, after which readers pass the
+    older ones by. State is one small row per key.
     """
+    units = F.rint(F.col(value) * unit).cast("long")
     totals = stream.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(value).alias("total"),
-        F.sum(F.col(value) * F.col(value)).alias("total_sq"),
-    )
+        F.count(F.lit(1)).alias("n"), F.sum(units).alias("total_units"), F.sum(units * units).alias("total_sq_units"))
+    totals = totals.select(key, "n", (F.col("total_units") / unit).alias("total"), (F.col("total_sq_units") / unit ** 2).alias("total_sq"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id:012d}")
+        if (batch_id + 1) % merge_every == 0:
+            latest_stats(spark, target, key, batch_id).write.mode("overwrite").parquet(f"{target}/merged={batch_id:012d}")
 
     return (
         totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
@@ -64,9 +75,22 @@ def item_stats(stream: DataFrame, key: str, value: str, target: str, checkpoint:
     )
 
 
-def latest_stats(spark: SparkSession, target: str, key: str) -> DataFrame:
-    """The newest row of every key."""
-    rows = spark.read.parquet(target)
-    values = [c for c in rows.columns if c not in (key, "batch")]
-    newest = rows.groupBy(key).agg(F.max_by(F.struct(*values), "batch").alias("v"))
+def latest_stats(spark: SparkSession, target: str, key: str, until: int | None = None) -> DataFrame:
+    """The newest row of every key, from the last merged folder and the batches after it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {"batch": [], "merged": []}
+    for entry in files.listStatus(path):
+        kind, _, number = entry.getPath().getName().partition("=")
+        if kind in found and (until is None or int(number) <= until):
+            # A folder without this mark is being written.
+            whole = files.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
+            found[kind] += [int(number)] if whole else []
+    start = max((n for n in found["merged"] if until is None or n < until), default=-1)
+    parts = [f"{target}/merged={start:012d}"] if start >= 0 else []
+    numbers = [start] * len(parts) + sorted(n for n in found["batch"] if n > start)
+    parts += [f"{target}/batch={n:012d}" for n in numbers if n > start]
+    rows = reduce(DataFrame.unionByName, [spark.read.parquet(p).withColumn("_batch", F.lit(n)) for p, n in zip(parts, numbers)])
+    values = [c for c in rows.columns if c not in (key, "_batch")]
+    newest = rows.groupBy(key).agg(F.max_by(F.struct(*values), "_batch").alias("v"))
     return newest.select(key, "v.*")

@@ -30,6 +30,18 @@ def test_running_statistics_over_restarts(spark, tmp_path):
     assert got == {1: (2, 6.0, 20.0), 2: (1, 3.0, 9.0)}
 
 
+def test_merged_folders_replace_older_batches(spark, tmp_path):
+    source, target, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    schema = "item long, value double"
+    for part in range(5):
+        spark.createDataFrame([(part % 2, 0.1), (9, 0.2)], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        jobs.item_stats(stream, "item", "value", target, checkpoint, merge_every=2).awaitTermination()
+    assert len(list((tmp_path / "out").glob("merged=*"))) == 2
+    got = {r.item: (r.n, r.total) for r in jobs.latest_stats(spark, target, "item").collect()}
+    assert got == {0: (3, 0.3), 1: (2, 0.2), 9: (5, 1.0)}
+
+
 def test_replays_are_dropped(spark, tmp_path):
     source, target, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
     rows = spark.range(6).select(
