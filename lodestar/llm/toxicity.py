@@ -40,7 +40,7 @@ class Rows:
 
     def __init__(self, rows: list[np.ndarray], width: int):
         self.size, self.width = len(rows), width
-        self.columns = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        self.columns = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
@@ -82,19 +82,19 @@ def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 250,
     return weights, bias
 
 
-def fit(positive: list[list[str]], unlabelled: list[list[str]], prior: float) -> tuple[dict[str, float], float]:
-    """Nonzero weights by feature, and the bias. Without an example everything is clean."""
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], names: list[str], prior: float) -> tuple[dict[str, float], float]:
+    """Nonzero weights by feature, and the bias, from rows of places in ``names``.
+
+    Without an example everything is clean.
+    """
     if not positive:
         return {}, -5.0
-    columns = {f: i for i, f in enumerate(sorted({f for features in positive for f in features}))}
-    made = [Rows([np.array([columns[f] for f in features if f in columns], np.int64) for features in part], len(columns))
-            for part in (positive, unlabelled)]
-    weights, bias = fit_nnpu(*made, prior)
-    return {f: float(weights[i]) for f, i in columns.items() if weights[i]}, float(bias)
+    weights, bias = fit_nnpu(Rows(positive, len(names)), Rows(unlabelled, len(names)), prior)
+    return {f: float(w) for f, w in zip(names, weights) if w}, float(bias)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2):
-    """``(positive, unlabelled, prior)``: feature lists of bounded samples of labelled rows.
+    """``(positive, unlabelled, names, prior)``: bounded samples of labelled rows as places in a feature list.
 
     Only features that stand out in the confirmed examples are kept; those are counted by Spark,
     and the driver receives the kept ones of each sampled row alone.
@@ -135,15 +135,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out:
     counts = sample.mapInArrow(tally, "feature string, own bigint, other bigint").groupBy("feature").agg(
         F.sum("own").alias("own"), F.sum("other").alias("other"))
     standing = counts.where((F.col("own") >= LEAST_EXAMPLES) & (F.col("own") / of - F.col("other") / others >= LEAST_DEVIATIONS * spread))
-    kept = {r[0] for r in standing.select("feature").collect()}
+    names = sorted(r[0] for r in standing.select("feature").collect())
 
     def reduce(batches):
+        place = {f: i for i, f in enumerate(names)}
         for batch in batches:
-            made = [sorted(features_of(text) & kept) for text in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(made, pa.list_(pa.string()))], ["kinds", "features"])
+            made = [np.array(sorted(place[f] for f in features_of(text) if f in place), "<i4").tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(made, pa.binary())], ["kinds", "places"])
 
-    rows = sample.mapInArrow(reduce, "kinds array<string>, features array<string>").collect()
-    return [r.features for r in rows if "p" in r.kinds], [r.features for r in rows if "u" in r.kinds], prior
+    rows = sample.mapInArrow(reduce, "kinds array<string>, places binary").collect()
+    rows = [(r.kinds, np.frombuffer(r.places, "<i4")) for r in rows]
+    return [p for kinds, p in rows if "p" in kinds], [p for kinds, p in rows if "u" in kinds], names, prior
 
 
 def is_held_out(folds: int, held_out: int):
