@@ -85,9 +85,10 @@ def fit(rows: list[tuple[np.ndarray, int]], bits: int = BITS, steps: int = STEPS
     """Weights, the bias last, from ``(places, label)`` rows, passed over in shuffled orders."""
     passes = max(4, min(40, steps // max(1, len(rows))))
     model, order = Ftrl(1 << bits), np.random.default_rng(seed)
-    made = [(*weigh(places), label) for places, label in rows]
-    bias = np.array([1 << bits])
-    made = [(np.concatenate([at, bias]), np.concatenate([values, [1.0]]), label) for at, values, label in made]
+    made = []
+    for places, label in rows:  # small types: the sample is held whole
+        at, values = weigh(places)
+        made.append((np.append(at, 1 << bits).astype("i4"), np.append(values, 1.0).astype("f4"), label))
     for _ in range(passes):
         for i in order.permutation(len(made)):
             model.learn(*made[i])
