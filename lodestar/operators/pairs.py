@@ -7,6 +7,7 @@ from math import ceil
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.fixed_values import ITEM_SUPPORT, SIMILARITY_BAND
 from ..functions.scalars import cosine
 from ..session import BROADCAST_ROWS, materialise, wide_tasks
 
@@ -142,11 +143,11 @@ def mirror(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return pairs.select(both.alias("_p"), *rest).select(f"_p.{a}", f"_p.{b}", *rest)
 
 
-def in_band(pairs: DataFrame, low: float = 0.75, high: float = 0.999) -> DataFrame:
+def in_band(pairs: DataFrame, low: float = SIMILARITY_BAND[0], high: float = SIMILARITY_BAND[1]) -> DataFrame:
     return pairs.filter((F.col("sim") >= low) & (F.col("sim") <= high))
 
 
-def centered_item_similarity(ratings: DataFrame, support: int = 10) -> DataFrame:
+def centered_item_similarity(ratings: DataFrame, support: int = ITEM_SUPPORT) -> DataFrame:
     """Item-item cosine on ratings minus the item mean; more than ``support`` shared users.
 
     A rating equal to the item's mean is zero and counts as not rated.

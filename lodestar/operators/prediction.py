@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.fixed_values import RATING_CAP, SYNTHETIC_SIMILARITY
 from ..session import BROADCAST_ROWS, materialise, wide_tasks
 from .ordering import top_per_group
 from .pairs import mirror
@@ -14,7 +15,7 @@ def neighbours(pairs: DataFrame, k: int) -> DataFrame:
     return top_per_group(mirror(pairs), ["a"], [F.col("sim").desc(), F.col("b")], k)
 
 
-def neighbours_above(pairs: DataFrame, minimum: float = 0.8) -> DataFrame:
+def neighbours_above(pairs: DataFrame, minimum: float = SYNTHETIC_SIMILARITY) -> DataFrame:
     return mirror(pairs).filter(F.col("sim") >= minimum)
 
 
@@ -109,7 +110,7 @@ def grid_predictions(near: DataFrame, centered: DataFrame, users: DataFrame, sup
 
 
 def weighted_predictions(chosen: DataFrame, centered: DataFrame, users: DataFrame, n: int,
-                         cap: float = 10.0) -> DataFrame:
+                         cap: float = RATING_CAP) -> DataFrame:
     """The unrounded variant: mean of rating x similarity plus the user's mean, capped."""
     near = chosen.select(F.col("a").alias("user_id"), F.col("b").alias("user_b"), "sim")
     sums = (
@@ -167,7 +168,7 @@ def item_predictions(similar: DataFrame, centered: DataFrame, items: DataFrame,
 
 
 def best_similarity_predictions(similar: DataFrame, centered: DataFrame, items: DataFrame, users: DataFrame,
-                                rated: DataFrame, cap: float = 10.0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                                rated: DataFrame, cap: float = RATING_CAP, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The single most similar rated item decides; similarities are rounded to two places.
 
     On a tie the larger source id wins (the later one in id order). The cap comes

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.fixed_values import MIN_USER_RATINGS
 from ..functions.scalars import bands, centered_units, fixed_text, half_even
 
 
-def active_users(ratings: DataFrame, minimum: int = 5) -> DataFrame:
+def active_users(ratings: DataFrame, minimum: int = MIN_USER_RATINGS) -> DataFrame:
     """Ratings of users with at least ``minimum`` of them.
 
     A count per user (combined before the shuffle) and a semi-join, rather than
@@ -150,7 +151,7 @@ def activity_histogram(ratings: DataFrame, width: int, cut: int) -> DataFrame:
     )
 
 
-def clean_block(ratings: DataFrame, known_items: DataFrame, minimum: int = 5) -> DataFrame:
+def clean_block(ratings: DataFrame, known_items: DataFrame, minimum: int = MIN_USER_RATINGS) -> DataFrame:
     return active_users(ratings.join(known_items.select("item_id"), "item_id", "left_semi"), minimum)
 
 

@@ -25,12 +25,22 @@ def centered(x):
     return R.center(x.ratings(), "user_id", 100)
 
 
+def similar_users(x, v=V):
+    """The user pairs above a support, written once per session: many queries start from them."""
+    path = x.written(f"user-pairs-{v}", lambda p: P.centered_user_similarity(x.ratings(), v).write.parquet(p))
+    return x.spark.read.schema("a BIGINT, b BIGINT, common BIGINT, sim DOUBLE").parquet(path)
+
+
 def chosen(x):
-    return prediction.neighbours(P.centered_user_similarity(x.ratings(), V), K)
+    return prediction.neighbours(similar_users(x), K)
 
 
 def predictions(x):
-    return prediction.neighbour_predictions(chosen(x), centered(x), R.means(x.ratings(), "user_id"), N)
+    """The neighbours' estimates, written once per session."""
+    def make(path):
+        prediction.neighbour_predictions(chosen(x), centered(x), R.means(x.ratings(), "user_id"), N).write.parquet(path)
+
+    return x.spark.read.parquet(x.written("neighbour-predictions", make))
 
 
 def actual(x):
@@ -94,7 +104,7 @@ def topk_neighbours(x):
 
 @query("user_user_cosine", BASE + "," + user_pairs(V) + "SELECT a, b, common, round_even(sim, 4) AS sim FROM user_pairs")
 def user_user_cosine(x):
-    return P.centered_user_similarity(x.ratings(), V).withColumn("sim", half_even("sim", 4))
+    return similar_users(x).withColumn("sim", half_even("sim", 4))
 
 
 @query("topk_users", BASE + "," + USER_NEIGHBOURS + "SELECT a, b, common, round_even(sim, 4) AS sim, rank FROM chosen")
@@ -108,7 +118,7 @@ SELECT p.a, b, round_even(CASE WHEN hi > lo THEN (sim - lo) / (hi - lo) * 2 - 1
 FROM user_pairs_both p JOIN span s ON p.a = s.a
 WHERE abs(CASE WHEN hi > lo THEN (sim - lo) / (hi - lo) * 2 - 1 ELSE -1.0 END) >= 0.6""")
 def user_similarity_scaled(x):
-    pairs_ = P.centered_user_similarity(x.ratings(), V)
+    pairs_ = similar_users(x)
     return models.scaled_user_similarity(pairs_).select("a", "b", half_even("scaled", 4).alias("scaled"))
 
 
@@ -118,7 +128,7 @@ chosen_v AS (SELECT a, CAST(least(25, coalesce(max(CASE WHEN rn = 100 THEN commo
 SELECT v.a, support, count(*) AS candidates FROM chosen_v v JOIN user_pairs_both p ON p.a = v.a AND common > support GROUP BY 1, 2""")
 def adaptive_support(x):
     """The support is lowered below the floor of the shared pairs for the users who need it."""
-    pairs_ = P.centered_user_similarity(x.ratings(), 10)
+    pairs_ = similar_users(x, 10)
     return prediction.lowered_support(centered(x), pairs_, x.ratings().select("user_id").distinct(), 25, 100)
 
 
@@ -133,7 +143,7 @@ def neighbour_predictions(x):
 SELECT v.user_id, item_id, votes, round_even(least(m + mean_rating, 10.0), 4) AS estimate FROM v JOIN user_means u ON u.user_id = v.user_id""")
 def neighbour_predictions_synthetic(x):
     """The cut by similarity instead of by count, unrounded products, capped at 10."""
-    near = prediction.neighbours_above(P.centered_user_similarity(x.ratings(), V), 0.5)
+    near = prediction.neighbours_above(similar_users(x), 0.5)
     out = prediction.weighted_predictions(near, centered(x), R.means(x.ratings(), "user_id"), 2)
     return out.withColumn("estimate", half_even("estimate", 4))
 
