@@ -19,7 +19,7 @@ WORDS, SIMILARITY = 5, 0.8
 SKETCHES, MINIMA, BAND, AGREE, AGREE_MEMBERS = 64, 2, 2, 8, 16
 # Members of a large bucket meet block by block.
 BLOCK = 256
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 _CELLS = 1 << 20
 
 

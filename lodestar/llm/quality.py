@@ -19,7 +19,7 @@ STEPS = 40_000
 BITS = 20
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _SAME = np.uint32(0x5BD1E995)
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 
 class Hasher:

@@ -19,7 +19,7 @@ MOST_POSITIVE, MOST_UNLABELLED = 4_000, 16_000
 LEAST_EXAMPLES, LEAST_DEVIATIONS = 2, 3.5
 BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"\w+")
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 
 def word_features(word: str) -> list[str]:
