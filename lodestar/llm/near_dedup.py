@@ -14,9 +14,9 @@ from .tables import id_and_text
 
 WORDS, SIMILARITY = 5, 0.8
 # Sketches of MINIMA k-mers each; BAND of them make a bucket. Two texts with a shingle resemblance
-# of r agree in r**MINIMA of the sketches. Members are compared with their bucket's hub if they
-# agree in AGREE of them, and with each other if in AGREE_MEMBERS (r of about a half).
-SKETCHES, MINIMA, BAND, AGREE, AGREE_MEMBERS = 64, 2, 2, 8, 16
+# of r agree in r**MINIMA of the sketches. Members are compared with their bucket's hub, and with
+# each other, if they agree in AGREE of them.
+SKETCHES, MINIMA, BAND, AGREE = 64, 2, 2, 8
 # Members of a large bucket meet block by block.
 BLOCK = 256
 REMEMBERED = 100_000
@@ -275,7 +275,7 @@ def agreeing_pairs(group: pa.Table, least: float) -> list[tuple[int, int, int]]:
         same = sketch[others] == sketch[i]
         shared = same.reshape(len(others), -1, BAND).all(axis=2)
         agree = same.sum(axis=1)
-        good = (agree >= AGREE_MEMBERS) & (shared.argmax(axis=1) == band)
+        good = (agree >= AGREE) & (shared.argmax(axis=1) == band)
         found += zip(agree[good].tolist(), [int(i)] * int(good.sum()), others[good].tolist())
     return found
 

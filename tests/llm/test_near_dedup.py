@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lodestar.llm import near_dedup
@@ -106,6 +108,28 @@ def test_members_apart_from_the_hub_meet(spark, monkeypatch):
     assert got == {tuple(sorted((key["b"], key["c"])))}
 
 
+def test_members_pass_the_same_gate_as_pairs_with_a_hub():
+    """Two members that agree in few sketches, with a bucket in common and a hub unlike both."""
+    made, draw = near_dedup.OrderMinHash(), random.Random(8)
+    source = [f"w{i}" for i in range(100)]
+    one, met = np.array(made(source)), 0
+    for n in range(60):
+        words = list(source)
+        for i in draw.sample(range(100), 9):
+            words[i] = f"x{n}x{i}"
+        two = made(words)
+        shared = np.flatnonzero((one == two).reshape(-1, near_dedup.BAND).all(axis=1))
+        if not (near_dedup.AGREE <= (one == two).sum() < 16 and len(shared)):
+            continue
+        other = made([f"h{i}" for i in range(100)])
+        group = pa.table({"x": [0] * 3, "y": [0] * 3, "own": [0] * 3, "band": [int(shared[0])] * 3, "key": [b"a", b"b", b"c"],
+                          "part": [b"a", b"b", b"c"], "n_words": [100] * 3, "sketch": [v.tolist() for v in (other, one, two)],
+                          "is_hub": [True, False, False], "text": ["", " ".join(source), " ".join(words)]})
+        assert near_dedup.linked_members(group, 0.8) == [(b"b", b"c")]
+        met += 1
+    assert met > 10
+
+
 def test_components_of_a_chain(spark):
     edges = [(str(i).zfill(3).encode(), str(i + 1).zfill(3).encode()) for i in range(40)] + [(b"x", b"y"), (b"y", b"x")]
     got = {bytes(r.node): bytes(r.root) for r in near_dedup.components(spark.createDataFrame(edges, "a binary, b binary")).collect()}
