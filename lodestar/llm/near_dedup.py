@@ -346,9 +346,12 @@ def links_between_parts(members: DataFrame, docs: DataFrame, nodes: DataFrame, l
 def near_classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY) -> DataFrame:
     """``doc_id, key, class_id, class_key``: the near-duplicate class of every row.
 
-    Equal texts are one node. Nodes whose texts have an edit similarity over words of ``least``
-    are linked, and a class is a connected component; its id is the least ``doc_id`` in it.
-    Candidates share a bucket of Order MinHash sketches and agree in ``AGREE`` of ``SKETCHES``.
+    Equal texts are one node, and a class is a connected component; its id is the least ``doc_id``
+    in it. What is searched is resemblance of five-word shingles: candidates share a bucket of
+    Order MinHash sketches and agree in ``AGREE`` of ``SKETCHES``, which shingle resemblances of
+    0.6 or more nearly always do. Candidates whose texts have an edit similarity over words of
+    ``least`` are linked. Pairs whose edits are scattered can reach ``least`` with few shingles in
+    common and are then missed, short texts above all; the README has the share by band.
     Each bucket's least key is compared with all members; members that this leaves in different
     components are then compared among themselves, block by block.
 
