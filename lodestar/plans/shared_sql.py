@@ -46,7 +46,8 @@ STORE = ITEM_PAIRS + """,
 store AS (SELECT a, b, sim FROM item_pairs_both WHERE sim >= 0.75 AND sim <= 0.999)
 """
 
-V, K, N = 15, 50, 5
+# Support, neighbours and votes of the reference's recommendations.
+V, K, N = 7, 250, 5
 
 
 def user_pairs(v: int) -> str:
