@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, fingerprints, licenses, near_dedup, packing, quality, sharding, token_counts, toxicity
+from . import bpe, divergence, fingerprints, licenses, merkle, near_dedup, packing, prefix_trie, quality, sharding, token_counts, toxicity
 from .divergence_sql import DIVERGENCE_SQL
-from .tables import documents, labels
+from .tables import conversations, documents, labels
+from .trie_sql import MERKLE_SQL, PREFIX_TRIE_SQL
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -74,3 +75,13 @@ def op3_divergence_rules(spark, sf_dir):
 @query("op8_patience_licenses")
 def op8_patience_licenses(spark, sf_dir):
     return licenses.scan(documents(spark, sf_dir), least=0.8)
+
+
+@query("op12_prefix_trie", PREFIX_TRIE_SQL)
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(conversations(spark, sf_dir))
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(documents(spark, sf_dir))

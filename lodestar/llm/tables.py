@@ -15,6 +15,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` with a missing text read as an empty one; other columns go."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
