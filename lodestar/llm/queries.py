@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, fingerprints, licenses, merkle, near_dedup, packing, prefix_trie, quality, sharding, token_counts, toxicity
+from . import bpe, divergence, fingerprints, jaccard_join, licenses, merkle, near_dedup, packing, prefix_trie, quality, sharding, token_counts, toxicity
 from .divergence_sql import DIVERGENCE_SQL
+from .jaccard_sql import JACCARD_SQL
 from .tables import conversations, documents, labels
 from .trie_sql import MERKLE_SQL, PREFIX_TRIE_SQL
 
@@ -77,6 +78,11 @@ def op8_patience_licenses(spark, sf_dir):
     return licenses.scan(documents(spark, sf_dir), least=0.8)
 
 
+@query("op11_jaccard_join", JACCARD_SQL)
+def op11_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(documents(spark, sf_dir), words=4, percent=85)
+
+
 @query("op12_prefix_trie", PREFIX_TRIE_SQL)
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(conversations(spark, sf_dir))
