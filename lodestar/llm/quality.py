@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -81,15 +82,14 @@ def weigh(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.sqrt(counts / max(1, counts.sum()))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], bits: int = BITS, steps: int = STEPS, seed: int = 11) -> np.ndarray:
+def fit(rows: Iterable[tuple[np.ndarray, int]], bits: int = BITS, steps: int = STEPS, seed: int = 11) -> np.ndarray:
     """Weights, the bias last, from ``(places, label)`` rows, passed over in shuffled orders."""
-    passes = max(4, min(40, steps // max(1, len(rows))))
     model, order = Ftrl(1 << bits), np.random.default_rng(seed)
     made = []
     for places, label in rows:  # small types: the sample is held whole
         at, values = weigh(places)
         made.append((np.append(at, 1 << bits).astype("i4"), np.append(values, 1.0).astype("f4"), label))
-    for _ in range(passes):
+    for _ in range(max(4, min(40, steps // max(1, len(made))))):
         for i in order.permutation(len(made)):
             model.learn(*made[i])
     return model.weights(slice(None))
@@ -99,8 +99,8 @@ def is_held_out(folds: int, held_out: int):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)) == held_out, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, most: int = MOST_ROWS):
-    """``(places, label)`` of a bounded sample of the labelled rows that are not held out.
+def training_sample(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, most: int = MOST_ROWS) -> DataFrame:
+    """``doc_id, quality, places`` of a bounded sample of the labelled rows that are not held out, written once.
 
     Rows without label or text take no part; of contradicting labels the lower one counts.
     """
@@ -115,9 +115,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
             made = [np.sort(hashed(text)).astype("<i4").tobytes() for text in batch.column(2).to_pylist()]
             yield pa.record_batch([batch.column(0).cast(pa.string()), batch.column(1), pa.array(made, pa.binary())], ["doc_id", "quality", "places"])
 
-    sample = materialise(texts.mapInArrow(work, "doc_id string, quality int, places binary"), "quality-sample")
-    rows = [(r.doc_id, r.quality, r.places) for r in sample.toLocalIterator()]
-    return [(np.frombuffer(places, "<i4"), label) for _, label, places in sorted(rows)]
+    return materialise(texts.mapInArrow(work, "doc_id string, quality int, places binary"), "quality-sample")
+
+
+def trained(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, most: int = MOST_ROWS) -> np.ndarray:
+    """Weights fitted by one task, which reads the sample in the order of its ids; only weights other than 0 reach the driver."""
+    sample = training_sample(docs, labels, folds, held_out, most).repartition(1).sortWithinPartitions("doc_id", "quality", "places")
+
+    def work(batches):
+        weights = fit((np.frombuffer(p, "<i4"), label) for b in batches for label, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        kept = np.flatnonzero(weights)
+        yield pa.record_batch([pa.array(kept, pa.int32()), pa.array(weights[kept], pa.float64())], ["at", "weight"])
+
+    found = sample.select("quality", "places").mapInArrow(work, "at int, weight double").toArrow()
+    weights = np.zeros((1 << BITS) + 1)
+    weights[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return weights
 
 
 def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3) -> DataFrame:
@@ -146,7 +159,7 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3) -> DataF
 
 def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, threshold: float = 0.3) -> DataFrame:
     """Fit on the training part of the labelled rows, score all: ``doc_id, held_out, score, predicted``."""
-    weights = fit(training_rows(docs, labels, folds, held_out))
+    weights = trained(docs, labels, folds, held_out)
     return score(docs, weights, threshold).select("doc_id", is_held_out(folds, held_out).alias("held_out"), "score", "predicted")
 
 
@@ -155,7 +168,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int
 
     A missing text scores as an empty one. No join: rows pass through the scoring task.
     """
-    weights, column = fit(training_rows(docs, labels, folds, held_out)), docs.columns.index("text")
+    weights, column = trained(docs, labels, folds, held_out), docs.columns.index("text")
     kept = np.flatnonzero(weights)
     sparse = (len(weights), kept.astype("i4"), weights[kept].astype("f4"))
 

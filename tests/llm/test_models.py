@@ -1,3 +1,5 @@
+
+import math
 import zlib
 
 import numpy as np
@@ -46,7 +48,7 @@ def test_labels_outside_training_do_not_matter(spark, tables):
     changed = changed.withColumn("quality", F.when(code % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
     for fit, rows in ((toxicity.fit, toxicity.training_rows), ):
         assert fit(*rows(docs, labels)) == fit(*rows(docs, changed))
-    assert np.array_equal(quality.fit(quality.training_rows(docs, labels)), quality.fit(quality.training_rows(docs, changed)))
+    assert np.array_equal(quality.trained(docs, labels), quality.trained(docs, changed))
 
 
 @pytest.mark.parametrize("score, keep", [(quality.score_quality, quality.keep_good), (toxicity.score_toxicity, toxicity.keep_clean)])
@@ -86,3 +88,27 @@ def test_ftrl_learns_a_sparse_separator():
     rows = [(np.array([i % 2, *draw.integers(10, 1 << 12, 6)], np.int32), i % 2) for i in range(400)]
     weights = quality.fit(rows, bits=12)
     assert weights[1] > 0 > weights[0]
+
+
+def test_ftrl_agrees_with_a_plain_update():
+    draw = np.random.default_rng(4)
+    rows = [(draw.integers(0, 30, 8).astype(np.int32), int(draw.integers(2))) for _ in range(40)]
+    model = quality.Ftrl(30)
+    z, n = [0.0] * 31, [0.0] * 31
+
+    def weight(i):
+        if abs(z[i]) <= model.l1:
+            return 0.0
+        return -(z[i] - math.copysign(model.l1, z[i])) / ((model.beta + math.sqrt(n[i])) / model.alpha + model.l2)
+
+    for places, label in rows:
+        at, values = quality.weigh(places)
+        model.learn(np.append(at, 30), np.append(values, 1.0), label)
+        x = {30: 1.0} | {int(p): math.sqrt(np.count_nonzero(places == p) / len(places)) for p in places}
+        slope = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in x.items()))) - label
+        for i, v in {i: (v, weight(i)) for i, v in x.items()}.items():
+            g = slope * v[0]
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / model.alpha * v[1]
+            n[i] += g * g
+    assert np.allclose(model.z, z) and np.allclose(model.n, n)
+    assert np.allclose(model.weights(slice(None)), [weight(i) for i in range(31)])
