@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,39 +22,38 @@ CUTS = 3
 FIRST = 2
 # Words of 64 bits that stand for the difference of two sets.
 MASKS = 4
-REMEMBERED = 200_000
-
-
-class Shingles:
-    """Sorted distinct hashes of a text's word shingles, as signed 64-bit numbers."""
-
-    def __init__(self, words: int = WORDS):
-        self.words = words
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        tokens = text.encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII white space only
-        if not tokens:
-            return np.zeros(0, np.int64)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        try:
-            codes = [known[t] for t in tokens]
-        except KeyError:
-            for t in tokens:
-                if t not in known:
-                    known[t] = xxhash.xxh3_64_intdigest(t)
-            codes = [known[t] for t in tokens]
-        codes = np.array(codes, np.uint64)
-        size = min(self.words, len(codes))
-        grams = np.full(len(codes) - size + 1, size, np.uint64)
+# Words of 64 parity bits that a set has: two sets differ in as many shingles as bits, at least.
+PARITY = 8
+
+
+def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its word shingles, as signed 64-bit numbers.
+
+    Words of a whole batch are split, numbered and hashed together. Only A-Z are lower-cased, and
+    only ASCII white space separates.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = split.flatten()
+    full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    counts = np.concatenate([[0], np.cumsum(full)])
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+    ends = counts[ends]
+    coded = flat.filter(pa.array(full)).dictionary_encode()
+    table = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
+    codes = table[coded.indices.to_numpy()] if len(coded) else table
+    for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        size = min(words, end - start)
+        if not size:
+            yield np.zeros(0, np.int64)
+            continue
+        last = end - size + 1
+        grams = np.full(last - start, size, np.uint64)
         for i in range(size):
-            grams = grams * np.uint64(0x9E3779B97F4A7C15) + codes[i:i + len(grams)]
+            grams = grams * np.uint64(0x9E3779B97F4A7C15) + codes[start + i:last + i]
             grams ^= grams >> np.uint64(32)
         grams = (grams ^ (grams >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         grams = (grams ^ (grams >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return np.unique((grams ^ (grams >> np.uint64(31))).view(np.int64))
+        yield np.unique((grams ^ (grams >> np.uint64(31))).view(np.int64))
 
 
 def fragments(grams: np.ndarray) -> list[np.ndarray]:
@@ -64,58 +66,82 @@ def set_key(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.astype("<i8").tobytes())
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the shingles fall on each of ``64 * PARITY`` bits."""
+    odd = np.bincount(grams & (64 * PARITY - 1), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, key, n, head`` of every row: its set's hash and size, and the shingles of the first fragments."""
+    """``doc_id, key, n`` of every row: the hash and the size of its set."""
     rows = id_and_text(docs)
 
     def work(batches):
-        shingles = Shingles(words)
         for batch in batches:
-            keys, sizes, heads = [], [], []
-            for text in batch.column(1).to_pylist():
-                grams = shingles(text)
-                keys.append(set_key(grams))
-                sizes.append(len(grams))
-                heads.append(np.concatenate(fragments(grams)[:FIRST]))
-            yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
-                                  ["doc_id", "key", "n", "head"])
+            made = [(set_key(g), len(g)) for g in shingle_sets(batch.column(1), words)]
+            yield pa.record_batch([batch.column(0), pa.array([k for k, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())], ["doc_id", "key", "n"])
+
+    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key binary, n bigint")
+
+
+def half(key: bytes) -> int:
+    """Half of a set's key, which stands for the set where shingles are shuffled."""
+    return int.from_bytes(key[:8], "big", signed=True)
+
+
+def first_fragments(docs: DataFrame, words: int) -> DataFrame:
+    """``half, grams`` of every text with a word: the shingles of the first fragments."""
+
+    def work(batches):
+        for batch in batches:
+            made = [(half(set_key(g)), np.concatenate(fragments(g)[:FIRST])) for g in shingle_sets(batch.column(0), words) if len(g)]
+            yield pa.record_batch([pa.array([k for k, _ in made], pa.int64()), pa.array([g for _, g in made], pa.list_(pa.int64()))], ["half", "grams"])
 
-    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key binary, n bigint, head array<bigint>")
+    return id_and_text(docs).select("text").mapInArrow(work, "half bigint, grams array<bigint>")
 
 
 def whole_sets(owners: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """``key, n, parts`` of the sets of ``(key, owner)``, the shingles fragment by fragment, from their owners' texts."""
-    owners = owners.select(F.col("key").alias("want"), "owner")
-    rows = id_and_text(docs).join(owners, F.col("doc_id").eqNullSafe(F.col("owner"))).select("want", "text")
+    """``half, key, n, alone, parity, parts`` of the sets of ``(key, owner, alone)``, the shingles fragment by fragment, from their owners' texts, written once."""
+    owners = owners.select(F.col("key").alias("want"), "owner", "alone")
+    rows = id_and_text(docs).join(owners, F.col("doc_id").eqNullSafe(F.col("owner"))).select("want", "alone", "text")
 
     def work(batches):
-        shingles = Shingles(words)
         for batch in batches:
-            keys, sizes, parts = [], [], []
-            for want, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                grams = shingles(text)
-                if set_key(grams) == want:  # an id may stand for several texts
-                    keys.append(want)
-                    sizes.append(len(grams))
-                    parts.append(fragments(grams))
-            yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(parts, pa.list_(pa.list_(pa.int64())))], ["key", "n", "parts"])
+            want, alone = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            # An id may stand for several texts.
+            made = [(half(k), k, len(g), a, parity(g), fragments(g)) for k, a, g in zip(want, alone, shingle_sets(batch.column(2), words)) if set_key(g) == k]
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
+            yield pa.record_batch([pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)], ["half", "key", "n", "alone", "parity", "parts"])
 
-    return rows.mapInArrow(work, "key binary, n bigint, parts array<array<bigint>>").dropDuplicates(["key"])
+    sets = materialise(rows.mapInArrow(work, "half bigint, key binary, n bigint, alone bigint, parity array<bigint>, parts array<array<bigint>>"), "jaccard-sets")
+    if sets.groupBy("key").count().where("count > 1").isEmpty():
+        return sets
+    return materialise(sets.dropDuplicates(["key"]), "jaccard-sets")  # rows repeated in full
 
 
 def unmatched(sets: DataFrame, grams: str | Column) -> DataFrame:
-    """``key, alone``: how many of a set's ``grams``, an array, no other set has.
+    """``half, alone``: how many of a set's ``grams``, an array, no other set has.
 
-    A shingle is one set's own if the least and the greatest key that hold it are the same; both
-    halves of the key are aggregated, before the shuffle and after, so copies and common
-    shingles cost one row a task.
+    A shingle is one set's own if the least and the greatest half key that hold it are the same;
+    they are aggregated before the shuffle and after, so copies and common shingles cost one row a task.
     """
-    halves = {"k1": 1, "k2": 9}
-    rows = sets.select(*[F.conv(F.hex(F.substring("key", at, 8)), 16, -10).cast("bigint").alias(n) for n, at in halves.items()], F.explode(grams).alias("gram"))
-    ends = rows.groupBy("gram").agg(*[f(n).alias(f"{f.__name__}_{n}") for n in halves for f in (F.min, F.max)])
-    own = ends.where("min_k1 = max_k1 and min_k2 = max_k2")
-    counts = own.groupBy("min_k1", "min_k2").agg(F.count("*").alias("alone"))
-    return counts.select(F.unhex(F.concat(*[F.lpad(F.hex(f"min_{n}"), 16, "0") for n in halves])).alias("key"), "alone")
+    ends = sets.select("half", F.explode(grams).alias("gram")).groupBy("gram").agg(F.min("half").alias("half"), F.max("half").alias("other"))
+    return ends.where("half = other").groupBy("half").agg(F.count("*").alias("alone"))
+
+
+def of_keys(counts: DataFrame, sets: DataFrame) -> DataFrame:
+    """``key, alone`` of the ``half, alone`` counts; sets that share half a key, should there be any, are left out."""
+    single = sets.groupBy("half").agg(F.min("key").alias("key"), F.count("*").alias("sets")).where("sets = 1")
+    return counts.join(single, "half").select("key", "alone")
+
+
+def with_more_unmatched(sets: DataFrame, known: DataFrame, cuts: range, percent: int) -> DataFrame:
+    """The ``key, n, alone`` of ``known`` sets that may still be linked once some more fragments are counted, written once."""
+    grams = F.flatten(F.slice("parts", cuts.start + 1, len(cuts)))
+    live = sets.select("half", "key", grams.alias("grams")).join(known, "key", "left_semi")
+    more = of_keys(unmatched(live, "grams"), sets.select("half", "key")).withColumnRenamed("alone", "more")
+    rows = known.join(more, "key", "left").select("key", "n", (F.col("alone") + F.coalesce("more", F.lit(0))).alias("alone"))
+    return materialise(rows.where(can_link(F.col("n"), F.col("alone"), percent)), "jaccard-left")
 
 
 def can_link(n, alone, percent: int) -> Column:
@@ -151,19 +177,51 @@ def overlaps(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> Da
     return materialise(partial.groupBy("a", "b", "n_a", "n_b").agg(*[f(n).alias(n) for n, (_, f) in aggregates.items()]), "jaccard-overlaps")
 
 
+def may_match(n_a: Column, alone_a: Column, n_b: Column, alone_b: Column, percent: int) -> Column:
+    """Whether sizes and unmatched shingles allow two sets to be linked."""
+    most = F.least(n_a - alone_a, n_b - alone_b)
+    return 100 * most >= percent * (n_a + n_b - most)
+
+
 def similar(percent: int) -> Column:
     return 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
 
 
-def members_of_hubs(entries: DataFrame) -> DataFrame:
-    """``a, b, n_a, n_b``: each prefix shingle's hub and its other sets, every pair once.
+def in_buckets(entries: DataFrame, percent: int) -> DataFrame:
+    """``gram, key, n, alone, parity, hub, near`` of every set that shares a prefix shingle, written once.
 
     The hub is the set with the fewest unmatched shingles, which near copies of one text have in
-    common, so that all their shingles have the same hub.
+    common, so that all their shingles have the same hub. ``near`` tells whether the sizes and
+    unmatched shingles of the two allow a link.
     """
     hubs = entries.groupBy("gram").agg(F.min(F.struct("alone", "key", "n")).alias("hub"), F.count("*").alias("sets")).where("sets > 1")
-    pairs = entries.join(hubs.select("gram", "hub"), "gram").where(F.col("key") != F.col("hub.key"))
-    return pairs.select(F.col("hub.key").alias("a"), F.col("key").alias("b"), F.col("hub.n").alias("n_a"), F.col("n").alias("n_b")).distinct()
+    near = may_match(F.col("n"), F.col("alone"), F.col("hub.n"), F.col("hub.alone"), percent)
+    return materialise(entries.join(hubs.select("gram", "hub"), "gram").withColumn("near", near), "jaccard-buckets")
+
+
+def ordered_pairs(pairs: DataFrame) -> DataFrame:
+    """Distinct ``a, b, n_a, n_b`` with the lesser key first."""
+    low = F.col("a") < F.col("b")
+    return pairs.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+        F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()
+
+
+def far_pairs(buckets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components, one of them not near the hub of a shingle that they share.
+
+    Sizes, unmatched shingles and parity bits have to allow a link.
+    """
+    far = buckets.where(~F.col("near")).select("gram", *[F.col(c).alias(f"{c}_a") for c in ("key", "n", "alone", "parity")])
+    two = buckets.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "alone", "parity")])
+    size = F.col("n_a") + F.col("n_b")
+    apart = sum(F.bit_count(F.get("parity_a", F.lit(i)).bitwiseXOR(F.get("parity_b", F.lit(i)))) for i in range(PARITY))
+    fits = may_match(F.col("n_a"), F.col("alone_a"), F.col("n_b"), F.col("alone_b"), percent) & ((100 + percent) * (size - apart) >= 2 * percent * size)
+    pairs = ordered_pairs(far.join(two, "gram").where((F.col("key_a") != F.col("key_b")) & fits).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "n_a", "n_b"))
+    for side in "ab":
+        own = parts.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        pairs = pairs.join(own, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    return pairs.where("root_a <> root_b").select("a", "b", "n_a", "n_b")
 
 
 def loose_pairs(compared: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -190,10 +248,7 @@ def loose_pairs(compared: DataFrame, parts: DataFrame, percent: int) -> DataFram
     # n_a + n_b - apart_a - apart_b, plus twice what the differences share, is twice what the sets share.
     twice = F.col("kept_a") + F.col("kept_b") + 2 * met
     pairs = one.join(two, "hub").where((F.col("part_a") != F.col("part_b")) & (100 * twice >= percent * (2 * (F.col("n_a") + F.col("n_b")) - twice)))
-    low = F.col("key_a") < F.col("key_b")
-    return pairs.select(
-        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), F.when(low, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-        F.when(low, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()
+    return ordered_pairs(pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "n_a", "n_b"))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -207,8 +262,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
       order for all sets, then in all of them for the sets left; a set with too many of its own
       has no link.
     * Two linked sets share one of the first ``n - ceil(n * percent / 100) + 1`` shingles of the
-      order. Sets that share one are compared with the most central of them; then members of
-      different components with each other, unless their differences from that set rule a link out.
+      order. Sets that share one are compared with the most central of them, where sizes and
+      unmatched shingles allow a link; then sets of different components with each other, unless
+      these, or their differences from that set, rule a link out.
     * A comparison counts the overlap fragment by fragment and sums up.
 
     Words are lower-cased in A-Z. A text with fewer words is one shingle; without words, or
@@ -218,18 +274,25 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     """
     rows = materialise(signed(docs, words), "jaccard-rows")
     owners = materialise(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("owner"), F.first("n").alias("n")), "jaccard-owners")
-    first = unmatched(rows, "head")
-    left = owners.join(first, "key", "left").where(can_link(F.col("n"), F.coalesce("alone", F.lit(0)), percent)).select("key", "owner")
-    sets = materialise(whole_sets(left, docs, words), "jaccard-sets")
-    alone = unmatched(sets, F.flatten("parts"))
+    halves = owners.withColumn("half", F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("bigint"))
+    alone = of_keys(unmatched(first_fragments(docs, words), "grams"), halves)
+    left = owners.join(alone, "key", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    sets = whole_sets(left.where(can_link(F.col("n"), F.col("alone"), percent)), docs, words)
+    known = sets.select("key", "n", "alone")
+    for cuts in (range(FIRST, 2 * FIRST), range(2 * FIRST, 1 << CUTS)):
+        known = with_more_unmatched(sets, known, cuts, percent)
     prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    entries = sets.join(alone, "key", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).where(can_link(F.col("n"), F.col("alone"), percent))
-    entries = materialise(entries.select("key", "n", "alone", F.explode(F.slice(F.flatten("parts"), F.lit(1), prefix)).alias("gram")), "jaccard-entries")
+    entries = sets.select("key", "parity", F.slice(F.flatten("parts"), F.lit(1), prefix).alias("prefix")).join(known, "key").select("key", "n", "alone", "parity", F.explode("prefix").alias("gram"))
+    entries = materialise(entries, "jaccard-entries")
 
-    compared = overlaps(materialise(members_of_hubs(entries), "jaccard-members"), sets, differences=True)
+    buckets = in_buckets(entries, percent)
+    members = buckets.where(F.col("near") & (F.col("key") != F.col("hub.key"))).select(
+        F.col("hub.key").alias("a"), F.col("key").alias("b"), F.col("hub.n").alias("n_a"), F.col("n").alias("n_b")).distinct()
+    compared = overlaps(materialise(members, "jaccard-members"), sets, differences=True)
     links = compared.where(similar(percent)).select("a", "b")
     parts = components(links)
-    more = materialise(loose_pairs(compared, parts, percent), "jaccard-loose")
+    more = loose_pairs(compared, parts, percent).unionByName(far_pairs(buckets, parts, percent)).distinct()
+    more = materialise(more, "jaccard-loose")
     if not more.isEmpty():
         parts = components(links.unionByName(overlaps(more, sets).where(similar(percent)).select("a", "b")))
 

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,10 +85,19 @@ def test_masks_hold_every_shingle(spark):
     assert [m & (1 << 64) - 1 for m in row] == want
 
 
+def test_parity_bounds_the_difference():
+    draw = random.Random(5)
+    for n in (3, 60, 500):
+        x, y = ({draw.getrandbits(64) - (1 << 63) for _ in range(n)} for _ in range(2))
+        for other in (y, x | set(list(y)[:2]), x):
+            bits = [jaccard_join.parity(np.array(sorted(s), np.int64)).view(np.uint64) for s in (x, other)]
+            differ = sum(int(a).bit_count() for a in bits[0] ^ bits[1])
+            assert differ <= len(x ^ other) and (differ - len(x ^ other)) % 2 == 0
+
+
 def test_overlaps_are_sums_over_fragments(spark):
     a, b = (" ".join(f"w{i}" for i in r) for r in (range(500), range(100, 640)))
-    signs = jaccard_join.Shingles()
-    sets = [(jaccard_join.set_key(g), len(g), [p.tolist() for p in jaccard_join.fragments(g)]) for g in map(signs, (a, b))]
+    sets = [(jaccard_join.set_key(g), len(g), [p.tolist() for p in jaccard_join.fragments(g)]) for g in jaccard_join.shingle_sets(pa.array([a, b]))]
     assert all(len(s[2]) == 1 << jaccard_join.CUTS and sum(map(len, s[2])) == s[1] for s in sets)
     frame = spark.createDataFrame(sets, "key binary, n bigint, parts array<array<bigint>>")
     pairs = spark.createDataFrame([(sets[0][0], sets[1][0], sets[0][1], sets[1][1])], "a binary, b binary, n_a bigint, n_b bigint")
