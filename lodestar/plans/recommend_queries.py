@@ -8,7 +8,7 @@ from ..functions.scalars import half_even
 from ..operators import evaluation as E, models, ordering, pairs as P, prediction, ratings as R, synthetic
 from ..session import materialise
 from .registry import query, sql_of
-from .shared_sql import BASE, ITEM_PAIRS, K, MACRO, N, PREDICTIONS, STORE, USER_NEIGHBOURS, V, pairs, scores, user_pairs
+from .shared_sql import BASE, ITEM_PAIRS, K, MACRO, N, PREDICTIONS, STORE, USER_NEIGHBOURS, V, pairs, scores, synthetic as synthetic_sql, user_pairs
 
 
 def item_pairs(x):
@@ -429,23 +429,40 @@ def _synthetic(x):
     return synthetic.synthetic_ratings(R.center(x.ratings(), "item_id"), P.in_band(item_pairs(x)), TARGET)
 
 
-@query("synthetic_ratings")
+def _rounded(rows):
+    return rows.withColumns({c: half_even(c, 6) for c in ("confidence", "sim")})
+
+
+_SYNTHETIC = BASE + "," + STORE + "," + synthetic_sql(TARGET)
+_ROUNDED = "* REPLACE (round_even(confidence, 6) AS confidence, round_even(sim, 6) AS sim)"
+
+
+@query("synthetic_ratings", _SYNTHETIC + f"SELECT {_ROUNDED} FROM synthetic")
 def synthetic_ratings(x):
-    return _synthetic(x)
+    return _rounded(_synthetic(x))
 
 
-@query("synthetic_confidence_cut")
+@query("synthetic_confidence_cut", _SYNTHETIC + f"SELECT {_ROUNDED} FROM cut")
 def synthetic_confidence_cut(x):
-    return synthetic.confidence_cut(_synthetic(x), TARGET)
+    return _rounded(synthetic.confidence_cut(_synthetic(x), TARGET))
+
+
+# Least similarity of neighbours among expanded profiles. The reference takes .8, which leaves no row
+# of the given tables (0 at sf0.01): their ratings are independent of each other.
+NEAR = 0.5
 
 
-@query("recommend_flow")
+@query("recommend_flow", _SYNTHETIC + ", expanded AS (SELECT user_id, item_id, tenths * 10 AS c FROM cut)," + pairs("near", "expanded", "user_id", "item_id", "c", V) + f"""
+, v AS (SELECT a AS user_id, e.item_id, avg(e.c / 100.0 * sim) AS m, count(*) AS votes
+        FROM near_both JOIN expanded e ON e.user_id = b WHERE sim >= {NEAR} GROUP BY 1, 2 HAVING count(*) >= {N}),
+predictions AS (SELECT v.user_id, item_id, votes, round_even(least(m + mean_rating, 10.0), 6) AS estimate FROM v JOIN user_means u ON u.user_id = v.user_id)""" + _TOP.replace("round_even(estimate, 4) AS estimate", "estimate"))
 def recommend_flow(x):
     """Centre, expand, find neighbours among the expanded profiles, predict, drop what is rated, name."""
     expanded = synthetic.confidence_cut(_synthetic(x), TARGET).select(
         "user_id", "item_id", (F.col("tenths") * 10).alias("c"))
     pairs_ = P.support_cosine(expanded, "user_id", "item_id", "c", V + 1)
-    near = prediction.neighbours_above(pairs_, 0.5)
+    near = prediction.neighbours_above(pairs_, NEAR)
     users = R.means(x.ratings(), "user_id")
-    estimates = prediction.weighted_predictions(near, expanded, users, N)
-    return prediction.recommend(estimates, x.ratings(), _names(x), 30)
+    estimates = prediction.weighted_predictions(near, expanded, users, N).withColumn("estimate", half_even("estimate", 6))
+    out = prediction.recommend(estimates, x.ratings(), _names(x), 30)
+    return out.select("user_id", "item_id", "name", F.col("rank").cast("long").alias("rank"), "estimate")

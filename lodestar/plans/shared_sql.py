@@ -93,5 +93,41 @@ user_scores AS (
 """
 
 
+def synthetic(target: int) -> str:
+    """The expansion of profiles as a state machine: a step is one user at one place of the round's snapshot.
+
+    The state of a user is its profile as lists in order of insertion, the place ``spot``, the
+    length ``size`` of the snapshot and the round. A step adds the best neighbour not yet held; a
+    round ends behind its snapshot or where nothing can be added, and the next one follows if it added
+    anything and the target is not reached.
+    """
+    return f"""
+lists AS (SELECT a AS item_id, list(b ORDER BY sim DESC, b) AS others, list(sim ORDER BY sim DESC, b) AS sims FROM (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS rank FROM store) WHERE rank <= {2 * target} GROUP BY a),
+machine AS (
+  SELECT user_id, list(item_id ORDER BY item_id) AS items, list(c ORDER BY item_id) AS tenths, list(1.0::DOUBLE) AS confidence, list(1.0::DOUBLE) AS sims,
+    list(item_id ORDER BY item_id) AS origins, list(0::BIGINT) AS iterations, list(0::BIGINT) AS degrees,
+    1::BIGINT AS spot, count(*) AS size, 1::BIGINT AS round, count(*) < {target} AS open, count(*) >= {target} AS whole FROM cx GROUP BY user_id
+  UNION ALL
+  SELECT user_id, CASE WHEN step > 0 THEN list_append(items, others[step]) ELSE items END, CASE WHEN step > 0 THEN list_append(tenths, CAST(round_even(tenths[spot] * steps[step], 0) AS BIGINT)) ELSE tenths END,
+    CASE WHEN step > 0 THEN list_append(confidence, confidence[spot] * steps[step]) ELSE confidence END, CASE WHEN step > 0 THEN list_append(sims, steps[step]) ELSE sims END,
+    CASE WHEN step > 0 THEN list_append(origins, items[spot]) ELSE origins END, CASE WHEN step > 0 THEN list_append(iterations, round) ELSE iterations END,
+    CASE WHEN step > 0 THEN list_append(degrees, degrees[spot] + 1) ELSE degrees END,
+    CASE WHEN ended THEN 1 ELSE spot + 1 END, CASE WHEN ended THEN held ELSE size END, CASE WHEN ended THEN round + 1 ELSE round END,
+    NOT ended OR (held > size AND held < {target}), whole
+  FROM (SELECT *, len(items) + CASE WHEN step > 0 THEN 1 ELSE 0 END AS held, step = 0 OR spot = size AS ended FROM (
+    SELECT m.*, l.others, l.sims AS steps, coalesce(list_position(list_transform(l.others, lambda o: list_contains(m.items, o)), false), 0) AS step
+    FROM machine m LEFT JOIN lists l ON l.item_id = m.items[m.spot] WHERE m.open))),
+synthetic AS (
+  SELECT user_id, items[i] AS item_id, CASE WHEN whole THEN 0 ELSE i - 1 END AS pos, tenths[i] AS tenths, confidence[i] AS confidence, sims[i] AS sim, origins[i] AS rec_from,
+    iterations[i] AS iteration, degrees[i] AS degrees FROM (SELECT *, unnest(range(1, len(items) + 1)) AS i FROM machine WHERE NOT open)),
+cut AS (
+  SELECT * EXCLUDE (rank, n_real) FROM (
+    SELECT s.*, row_number() OVER (PARTITION BY s.user_id, degrees > 0 ORDER BY confidence DESC, item_id) AS rank, n_real
+    FROM synthetic s JOIN (SELECT user_id, count(*) AS n_real FROM synthetic WHERE degrees = 0 GROUP BY 1) r ON r.user_id = s.user_id)
+  WHERE degrees = 0 OR rank <= {target} - n_real)
+"""
+
+
 MACRO = """round_even(avg(mae), 4) AS mae, round_even(avg(rmse), 4) AS rmse, round_even(avg(recall), 4) AS recall,
   round_even(avg(recommended), 4) AS mean_recommended, median(recommended) AS median_recommended, count(*) AS users"""
