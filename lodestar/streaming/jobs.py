@@ -32,8 +32,14 @@ def read_events(spark: SparkSession, folder: str, file: str, schema) -> DataFram
     return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(folder)
 
 
-def dedup(stream: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
-    """Drop replays of a key; state is one key per live watermark window, not forever."""
+def dedup(stream: DataFrame, time: str, keys: list[str], delay: str | None = None) -> DataFrame:
+    """Drop replays of a key.
+
+    With ``delay`` state is one key per live watermark window: rows later than it are dropped, and keys
+    that come again after it are returned again. Without, every key is kept and returned once.
+    """
+    if delay is None:
+        return stream.dropDuplicates(keys)
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 

@@ -50,3 +50,16 @@ def test_replays_are_dropped(spark, tmp_path):
     stream = spark.readStream.schema(rows.schema).parquet(source)
     jobs.write_append(jobs.dedup(stream, "ts", ["user_id", "item_id"], "1 hour"), target, checkpoint).awaitTermination()
     assert spark.read.parquet(target).count() == 2
+
+
+def test_keys_come_once_over_800_days_and_restarts(spark, tmp_path):
+    source, target, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    day, schema = 86_400, "ts timestamp, user_id long, item_id long"
+    for start in (800, 0, 400):  # old rows come late, too
+        rows = [(d, d % 5, d % 3) for d in range(start, start + 12)] * 2
+        frame = spark.createDataFrame(rows, "d long, user_id long, item_id long").select(F.timestamp_seconds(F.col("d") * day).alias("ts"), "user_id", "item_id")
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        jobs.write_append(jobs.dedup(stream, "ts", ["user_id", "item_id"]), target, checkpoint).awaitTermination()
+    got = [(r.user_id, r.item_id) for r in spark.read.parquet(target).collect()]
+    assert sorted(got) == sorted({(d % 5, d % 3) for start in (800, 0, 400) for d in range(start, start + 12)})
