@@ -5,35 +5,110 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .tables import id_and_text
 
-# Notices as their licenses or common practice word them.
-NOTICES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+# Names of licenses as their short notices give them.
+_NAMED = {
+    "Apache-2.0": "Apache License, Version 2.0", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License",
+    "BSL-1.0": "Boost Software License, Version 1.0", "EPL-2.0": "Eclipse Public License, Version 2.0", "ISC": "ISC License",
+    "MPL-2.0": "Mozilla Public License, Version 2.0", "Unlicense": "The Unlicense", "Zlib": "zlib License",
+    "GPL-2.0": "GNU General Public License, version 2", "GPL-3.0": "GNU General Public License, version 3",
+    "LGPL-2.1": "GNU Lesser General Public License, version 2.1", "LGPL-3.0": "GNU Lesser General Public License, version 3",
+    "AGPL-3.0": "GNU Affero General Public License, version 3",
+}
+# Creative Commons variants, their long names, and what follows a version.
+_COMMONS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_VERSIONS = {"3.0": "Unported", "4.0": "International"}
+# Sentences of license texts.
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+_ADVERTISING = (
+    "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This "
+    "product includes software developed by the organization. ")
+_NO_ENDORSEMENT = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission. ")
+_BSD_END = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES'
+_WITHOUT_FEE = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_FREE = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} Public License as published "
+    "by the Free Software Foundation, either version {2} of the License, or (at your option) any later version.")
+# Each notice with its telling words: runs that a match holds with no other word between.
+_LONG = {
+    "0BSD-permission": (f'{_WITHOUT_FEE}. THE SOFTWARE IS PROVIDED "AS IS"', "with or without fee is hereby granted the software is provided"),
     "Apache-2.0-header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
         "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
         'law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES '
-        "OR CONDITIONS OF ANY KIND, either express or implied."),
-    "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
-        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    "MIT": "Released under the MIT License.",
+        "OR CONDITIONS OF ANY KIND, either express or implied.", "Apache License, Version 2.0"),
+    "BSD-2-Clause-text": (_BSD + _BSD_END, "provided with the distribution this software is provided by"),
+    "BSD-3-Clause-text": (f"{_BSD}3. {_NO_ENDORSEMENT}{_BSD_END}", "source and binary forms", "neither the name of"),
+    "BSD-4-Clause-text": (f"{_BSD}{_ADVERTISING}4. {_NO_ENDORSEMENT}{_BSD_END}", "all advertising materials", "neither the name of"),
+    "CC0-1.0": ("Licensed under CC0 1.0 Universal.", "CC0 1.0"),
+    "CC0-1.0-statement": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "waived all copyright and related or neighboring rights"),
+    "ISC-permission": (
+        f"{_WITHOUT_FEE}, provided that the above copyright notice and this permission notice appear in all copies.",
+        "with or without fee is hereby granted provided that the above copyright notice"),
+    "MIT": ("Released under the MIT License.", "MIT License"),
+    "MIT-disclaimer": (
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        "authors or copyright holders be liable"),
     "MIT-permission": (
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation '
         'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
         "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
-        "Software is furnished to do so, subject to the following conditions:"),
+        "Software is furnished to do so, subject to the following conditions:", "to deal in the software", "subject to"),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+        "with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "Mozilla Public License, v. 2.0"),
+    "Unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means.", "free and unencumbered software released into the public domain"),
+    "Zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+        "any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+        "including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "to alter it and redistribute it freely"),
 }
+
+
+def _notices() -> dict[str, tuple[str, ...]]:
+    found = dict(_LONG)
+    for name, called in _NAMED.items():
+        work = "This work is licensed" if name.startswith(("GPL", "LGPL", "AGPL")) else "Licensed"
+        found[name] = (f"{work} under {'' if called.startswith('The ') else 'the '}{called}.", called)
+    for name, kind, version in (("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.1", "Lesser General", "2.1"),
+                                ("LGPL-3.0", "Lesser General", "3"), ("AGPL-3.0", "Affero General", "3")):
+        text = _FREE.format("library" if name == "LGPL-2.1" else "program", kind, version)
+        found[f"{name}-header"] = (text, f"GNU {kind} Public License", f"version {version} of the License")
+    for variant, called in _COMMONS.items():
+        for version, scope in _VERSIONS.items():
+            found[f"CC-{variant}-{version}"] = (f"Licensed under CC {variant} {version}.", f"CC {variant} {version}")
+            found[f"CC-{variant}-{version}-work"] = (
+                f"This work is licensed under a Creative Commons {called} {version} {scope} License.", f"Creative Commons {called} {version}")
+    return found
+
+
+TELLING = {name: telling for name, (_, *telling) in _notices().items()}
+NOTICES = {name: text for name, (text, *_) in _notices().items()}
 COVERAGE = 0.8
 _WORD = re.compile(r"\w+")
 
@@ -86,84 +161,149 @@ def patience(text: list[str], template: list[str]) -> list[tuple[int, int]]:
 
 
 class Notice:
-    """A template with what its search needs."""
+    """A template with what its search needs.
+
+    Its telling words, if it has any, are runs that a match must hold with no other word between.
+    """
 
-    def __init__(self, name: str, text: str, least: float):
+    def __init__(self, name: str, text: str, least: float, telling: Sequence[str] = ()):
         self.name, self.words, self.least = name, word_list(text), least
         self.counts = Counter(self.words)
-        self.reach = int(len(self.words) / least)
+        self.reach = max(int(len(self.words) / least + 1e-9), len(self.words))
         # A match leaves out at most this many words, so one of any more words must be there.
-        spare, self.needed = len(self.words) * (1 - least), []
+        spare = len(self.words) * (1 - least) + 1e-9
+        self.starts = set(self.words[:int(spare) + 1])
+        self.runs = []
+        for run in filter(None, map(word_list, telling)):
+            place = next(iter(places_of(run, self.words)), None)
+            if place is None:
+                raise ValueError(f"telling words of {name} are not in its text: {' '.join(run)}")
+            self.runs.append((place, run))
+        self.needed = []
         for word in sorted(self.counts, key=lambda w: (-len(w), w)):
             self.needed.append(word)
             spare -= self.counts[word]
-            if spare < -1e-9:
+            if spare < 0:
                 break
+        self.telling = sorted({w for _, run in self.runs for w in run}, key=lambda w: (-len(w), w))
+        self.telling_line = re.compile(r"\W+".join(map(re.escape, self.runs[0][1]))) if self.runs else None
+
+    def possible(self, low: str, has) -> bool:
+        """Whether a lower-cased text holds what a match cannot do without; ``has`` looks up one word."""
+        if self.runs:
+            return all(map(has, self.telling)) and self.telling_line.search(low) is not None
+        return any(map(has, self.needed))
 
     def find(self, words: list[str]) -> list[tuple[float, int, int]]:
         """``(coverage, first, last)`` of every separate stretch of words that the notice covers.
 
-        Windows of twice the reach start half a reach apart around words of the notice, so that
-        each possible match lies whole in one; a window that lacks too many words is passed by.
+        With telling words, each place of the first run is aligned to both sides as far as a match
+        can reach. Without, a match starts with one of the notice's first words, as few may be
+        missing: the windows of one reach from each of their places are aligned.
         """
+        found = []
+        for matches, kept in self._around_runs(words) if self.runs else self._from_starts(words):
+            best = self._densest(matches, kept)
+            if best and best[0] >= self.least - 1e-9:
+                found.append(best)
+        return apart(found, lambda f: (-f[0], f[2] - f[1], f[1]))
+
+    def _around_runs(self, words: list[str]):
+        place, run = self.runs[0]
+        slack = self.reach - len(self.words)
+        for at in places_of(run, words):
+            low, after = max(0, at - place - slack), at + len(run)
+            # Backwards, so that equal words next to the run match first, as they do behind it.
+            before = patience(words[low:at][::-1], self.words[:place][::-1])
+            matches = [(at - 1 - i, place - 1 - j) for i, j in before[::-1]]
+            matches += [(at + i, place + i) for i in range(len(run))]
+            behind = words[after:after + len(self.words) - place - len(run) + slack]
+            matches += [(i + after, j + place + len(run)) for i, j in patience(behind, self.words[place + len(run):])]
+            aligned = {j: i for i, j in matches}
+            ends = [at, after - 1]
+            for start, other in self.runs[1:]:
+                first = aligned.get(start)
+                if first is None or any(aligned.get(start + i) != first + i for i in range(len(other))):
+                    break
+                ends += [first, first + len(other) - 1]
+            else:
+                yield matches, (min(ends), max(ends))
+
+    def _from_starts(self, words: list[str]):
         own = [i for i, w in enumerate(words) if w in self.counts]
-        step, found, tried = max(1, self.reach // 2), [], set()
-        for place in own:
-            for slot in range(max(0, place // step - 3), place // step + 1):
-                if slot in tried:
-                    continue
-                tried.add(slot)
-                window = words[slot * step:slot * step + 2 * self.reach]
-                if sum((Counter(window) & self.counts).values()) < self.least * len(self.words) - 1e-9:
-                    continue
-                best = self._densest([i for i, _ in patience(window, self.words)])
-                if best and best[0] >= self.least - 1e-9:
-                    found.append((best[0], slot * step + best[1], slot * step + best[2]))
-        kept: list[tuple[float, int, int]] = []
-        for item in sorted(found, key=lambda f: (-f[0], f[2] - f[1], f[1])):
-            if all(item[2] < k[1] or item[1] > k[2] for k in kept):
-                kept.append(item)
-        return sorted(kept, key=lambda f: f[1])
-
-    def _densest(self, places: list[int]):
-        """The stretch of at most ``reach`` words with the most matches: coverage, first, last."""
+        for rank, at in enumerate(own):
+            if words[at] not in self.starts or bisect_left(own, at + self.reach) - rank < self.least * len(self.words) - 1e-9:
+                continue
+            window = words[at:at + self.reach]
+            if sum((Counter(window) & self.counts).values()) >= self.least * len(self.words) - 1e-9:
+                yield [(i + at, j) for i, j in patience(window, self.words)], None
+
+    def _densest(self, matches: list[tuple[int, int]], kept: tuple[int, int] | None):
+        """The stretch of at most ``reach`` words, around ``kept``, with the most matches: coverage, first, last."""
         best, low = None, 0
-        for high, place in enumerate(places):
-            while place - places[low] >= max(self.reach, len(self.words)):
+        for high, (place, _) in enumerate(matches):
+            while place - matches[low][0] >= self.reach:
                 low += 1
-            if best is None or high - low + 1 > best[0]:
-                best = (high - low + 1, places[low], place)
+            first, count = matches[low][0], high - low + 1
+            if kept and not first <= kept[0] <= kept[1] <= place:
+                continue
+            if best is None or (count, first - place) > (best[0], best[1] - best[2]):
+                best = (count, first, place)
         return best and (best[0] / len(self.words), best[1], best[2])
 
 
+def places_of(run: list[str], words: list[str]) -> list[int]:
+    """Where a run of words starts, also within itself."""
+    found, at = [], -1
+    try:
+        while True:
+            at = words.index(run[0], at + 1)
+            if words[at:at + len(run)] == run:
+                found.append(at)
+    except ValueError:
+        return found
+
+
+def apart(found: list[tuple], order) -> list[tuple]:
+    """The ``(_, first, last, ...)`` stretches that overlap none before them in the order, by place."""
+    kept: list[tuple] = []
+    for item in sorted(found, key=order):
+        at = bisect_left(kept, item[1], key=lambda k: k[2])
+        if at == len(kept) or item[2] < kept[at][1]:
+            kept.insert(at, item)
+    return kept
+
+
 def fullest(found: list[tuple]) -> list[tuple]:
     """Of overlapping ``(coverage, first, last, notice)`` stretches the one with most aligned words."""
-    kept: list[tuple] = []
-    for item in sorted(found, key=lambda f: (-round(f[0] * len(f[3].words)), f[2] - f[1], f[1], f[3].name)):
-        if all(item[2] < k[1] or item[1] > k[2] for k in kept):
-            kept.append(item)
-    return sorted(kept, key=lambda f: f[1])
+    return apart(found, lambda f: (-round(f[0] * len(f[3].words)), f[2] - f[1], f[1], f[3].name))
 
 
-def scan(docs: DataFrame, notices: dict[str, str] | None = None, least: float = COVERAGE) -> DataFrame:
+def scan(docs: DataFrame, notices: dict[str, str] | None = None, least: float = COVERAGE,
+         telling: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """``doc_id, license, coverage, start, end``: every stretch of a text that a notice covers.
 
     Coverage is the share of the notice's words aligned in order within the stretch, which is at
-    most ``1 / least`` times as long; ``start`` and ``end`` are its code points. A text without a
+    most ``1 / least`` times as long; ``start`` and ``end`` are its code points. ``telling`` names
+    runs of words, such as a license's name and version, that a match of a notice holds with no other
+    word between, so that a near relative is not taken for it; a license that has no template
+    gives no row, though its relatives have one. Notices that follow each other are told apart. A text without a
     match has one row with nulls, so have missing and empty texts. Repeated rows give repeated
     rows, an empty table none; extra columns are ignored. Where stretches of several notices
     overlap, the one with the most aligned words stays, then the tighter one.
     """
     texts = NOTICES if notices is None else notices
+    runs = telling if telling is not None else TELLING if notices is None else {}
 
     def work(batches):
-        made = [Notice(name, text, least) for name, text in texts.items() if word_list(text)]
+        made = [Notice(name, text, least, runs.get(name, ())) for name, text in texts.items() if word_list(text)]
         for batch in batches:
             owner, name, coverage, start, end = [], [], [], [], []
             for at, text in enumerate(batch.column(1).to_pylist()):
                 low, before, spans, words, found = text.lower(), len(owner), None, [], []
+                has = lru_cache(maxsize=None)(low.__contains__)
                 for notice in made:
-                    if not any(w in low for w in notice.needed):
+                    if not notice.possible(low, has):
                         continue
                     if spans is None:
                         spans = [m.span() for m in _WORD.finditer(text)]

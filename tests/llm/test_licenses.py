@@ -59,3 +59,65 @@ def test_odd_documents(odd, nothing, given):
             assert got[d] == "MIT"
         if "licen" not in text.lower() and "permission" not in text.lower():
             assert d not in got
+
+
+def found_in(text, notices=licenses.NOTICES, telling=licenses.TELLING):
+    made = [licenses.Notice(name, words, 0.8, telling.get(name, ())) for name, words in notices.items()]
+    low, words = text.lower(), licenses.word_list(text)
+    rows = [(*f, n) for n in made if n.possible(low, low.__contains__) for f in n.find(words)]
+    return [(n.name, first, last) for _, first, last, n in licenses.fullest(rows)]
+
+
+@pytest.mark.parametrize("text", [
+    "Released under the BSD License.", "Released under the Zope License.", "Licensed under the Mozilla Public License, Version 1.1.",
+    "Licensed under CC BY 2.5.", "This work is licensed under the GNU Lesser General Public License, version 2.",
+    "Released under the MIT no attribution License.", "Licensed under the Apache Software License, Version 1.1."])
+def test_relatives_without_a_template_are_not_named(text):
+    assert found_in(text) == []
+
+
+@pytest.mark.parametrize("text, name", [
+    ("Licensed under CC BY-ND 4.0", "CC-BY-ND-4.0"), ("licensed under a CC-BY-NC-SA 3.0", "CC-BY-NC-SA-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2", "GPL-2.0"), ("available under the MIT license", "MIT"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0")])
+def test_other_wordings_are_named(text, name):
+    assert [f[0] for f in found_in(text)] == [name]
+
+
+@pytest.mark.parametrize("name", sorted(licenses.NOTICES))
+def test_notices_one_after_the_other_are_told_apart(name):
+    text, size = licenses.NOTICES[name], len(licenses.word_list(licenses.NOTICES[name]))
+    assert found_in(" ".join([text] * 12)) == [(name, i * size, (i + 1) * size - 1) for i in range(12)]
+    # without telling words, too
+    assert found_in(" ".join([text] * 12), {name: text}, {}) == [(name, i * size, (i + 1) * size - 1) for i in range(12)]
+
+
+def test_changed_words_beside_the_telling_ones():
+    draw = random.Random(4)
+    for name, text in licenses.NOTICES.items():
+        words = licenses.word_list(text)
+        telling = {w for run in licenses.TELLING[name] for w in licenses.word_list(run)}
+        free = [i for i, w in enumerate(words) if w not in telling]
+        for i in draw.sample(free, min(len(free), len(words) // 10)):
+            words[i] = f"other{i}"
+        got = found_in(" ".join(["prose"] * 30 + words + ["prose"] * 30))
+        assert [f[0] for f in got] == [name]
+        place, run = next((licenses.places_of(r, words)[0], r) for r in map(licenses.word_list, licenses.TELLING[name]))
+        broken = words[:place + 1] + ["foreign"] + words[place + 1:]
+        assert name not in [f[0] for f in found_in(" ".join(broken))] or len(run) < 2
+
+
+def test_telling_words_have_to_be_in_the_text():
+    with pytest.raises(ValueError, match="gnu"):
+        licenses.Notice("x", "Released under the MIT License.", 0.8, ["GNU"])
+
+
+def test_stretches_apart_are_those_of_the_plain_scan():
+    draw = random.Random(5)
+    for _ in range(200):
+        found = [(draw.random(), a, a + draw.randint(0, 6)) for a in (draw.randint(0, 30) for _ in range(draw.randint(0, 15)))]
+        plain = []
+        for item in sorted(found, key=lambda f: -f[0]):
+            if all(item[2] < k[1] or item[1] > k[2] for k in plain):
+                plain.append(item)
+        assert licenses.apart(found, lambda f: -f[0]) == sorted(plain, key=lambda f: f[1])
