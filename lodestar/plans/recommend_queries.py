@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import half_even
-from ..operators import evaluation as E, models, ordering, pairs as P, prediction, ratings as R, synthetic
+from ..operators import evaluation as E, factorisation, models, ordering, pairs as P, prediction, ratings as R, synthetic
 from ..session import materialise
 from .registry import query, sql_of
 from .shared_sql import BASE, ITEM_PAIRS, K, MACRO, N, PREDICTIONS, STORE, USER_NEIGHBOURS, V, pairs, scores, synthetic as synthetic_sql, user_pairs
@@ -407,6 +407,12 @@ def als_cv(x):
     return models.factorisation_cv(x.ratings())
 
 
+@query("gradient_cv")
+def gradient_cv(x):
+    """Factors and biases by gradient steps with the reference solver's parameters, on the folds of ``cv_folds``."""
+    return factorisation.gradient_cv(x.ratings()).withColumn("rmse", half_even("rmse", 6))
+
+
 def _unit_sql(seed: int) -> str:
     return f"(({hash_sql(f"user_id || ':' || item_id || ':{seed}'")} + 1) / 1099511627777.0::DOUBLE)"
 
