@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -42,16 +43,21 @@ class ByteBpe:
         self.known: dict[str, bytes] = {}
 
     def pretokens(self, text: str) -> list[str]:
-        """The matches of the pattern over the whole text, found chunk by chunk.
+        """The matches of the pattern over the whole text."""
+        return [piece for part in self.parts(text) for piece in part]
+
+    def parts(self, text: str) -> Iterator[list[str]]:
+        """The matches of the pattern over the whole text, found chunk by chunk and given out as they are settled.
 
         Every chunk is scanned on its own from ``overlap`` characters before its start. The
         pattern never looks back, so where a boundary of a chunk is also one of the chunk before
         it, both go on alike. Without a common boundary the overlap is widened, at last to the
-        place up to which the text is already settled.
+        place up to which the text is already settled. The matches of two chunks are held at a time.
         """
         if len(text) <= self.chunk:
-            return self.pattern.findall(text)
-        settled, done, open_part = [], 0, []
+            yield self.pattern.findall(text)
+            return
+        done, open_part = 0, []
         for start in range(0, len(text), self.chunk):
             end = min(start + self.chunk, len(text))
             reach = self.overlap
@@ -63,11 +69,11 @@ class ByteBpe:
                     break
                 at = self._meeting(open_part, done, found, begin, start - MARGIN)
                 if at:
-                    settled += open_part[:at[0]]
+                    yield open_part[:at[0]]
                     done, open_part = at[2], found[at[1]:]
                     break
                 reach *= 4
-        return settled + open_part
+        yield open_part
 
     @staticmethod
     def _meeting(left: list[str], left_at: int, right: list[str], right_at: int, last: int):
@@ -84,10 +90,16 @@ class ByteBpe:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text as little-endian 32-bit numbers."""
+        return np.concatenate([np.zeros(0, "<u4"), *map(self._ids, self.parts(text))])
+
+    def encoded(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a text part by part."""
+        return map(self._ids, self.parts(text))
+
+    def _ids(self, pieces: list[str]) -> np.ndarray:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        pieces = self.pretokens(text)
         try:
             return np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
         except KeyError:
@@ -142,23 +154,27 @@ def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Encode every text, decode its ids, and return the count and both digests.
 
     The two steps of ``encode`` and ``decode`` in one task, so that ids of whole corpora are
-    not moved: ``doc_id, n_tokens, ids_sha256, decoded_sha256``. Edge cases as in ``encode``;
+    not moved: ``doc_id, n_tokens, ids_sha256, decoded_sha256``. Ids go into the digests part by
+    part and are forgotten, so memory follows the chunk and the text itself. Edge cases as in ``encode``;
     an empty text has the digests of no bytes.
     """
     path = vocabulary or public_tokenizers.path(RANKS)
 
-    def digest(raw: bytes) -> str:
-        return hashlib.sha256(raw).hexdigest()
-
     def work(batches):
         bpe = byte_bpe(path)
         for batch in batches:
             counts, coded, decoded = [], [], []
             for text in batch.column(1).to_pylist():
-                ids = bpe.encode(text).tolist()
-                counts.append(len(ids))
-                coded.append(digest(" ".join(map(bpe.decimal.__getitem__, ids)).encode()))
-                decoded.append(digest(bpe.decode(ids)))
+                count, names, raw = 0, hashlib.sha256(), hashlib.sha256()
+                for part in bpe.encoded(text):
+                    ids = part.tolist()
+                    if ids:
+                        names.update(b" " * bool(count) + " ".join(map(bpe.decimal.__getitem__, ids)).encode())
+                        raw.update(bpe.decode(ids))
+                        count += len(ids)
+                counts.append(count)
+                coded.append(names.hexdigest())
+                decoded.append(raw.hexdigest())
             yield pa.record_batch(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(coded), pa.array(decoded)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

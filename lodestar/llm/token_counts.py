@@ -65,23 +65,22 @@ class TokenCounter:
         A place where two chunks both start a pre-token is proven stable when the left chunk
         goes on for ``margin`` more characters: the right one is then the library's own scan
         from there. If the overlap has no such place it is widened, at last back to the place
-        up to which the text is settled, from where the right chunk is exact by itself.
+        up to which the text is settled, from where the right chunk is exact by itself. The
+        encodings of two chunks are held at a time.
         """
-        starts = range(0, len(text), self.chunk)
-        first = self.library.encode_batch(
-            [text[max(0, s - self.overlap):s + self.chunk] for s in starts], add_special_tokens=False)
-        total, done, left, held = 0, 0, self._boundaries(first[0], 0), len(first[0])
-        for start, encoded in zip(starts[1:], first[1:]):
+        encoded = self.library.encode(text[:self.chunk], add_special_tokens=False)
+        total, done, left, held = 0, 0, self._boundaries(encoded, 0), len(encoded)
+        for start in range(self.chunk, len(text), self.chunk):
             reach, end = self.overlap, start + self.chunk
-            begin = start - reach
+            begin = max(done, start - reach)
             while True:
+                encoded = self.library.encode(text[begin:end], add_special_tokens=False)
                 right = self._boundaries(encoded, begin)
                 shared = [p for p in right.keys() & left.keys() if p <= start - self.margin] if begin > done else [done]
                 if shared:
                     break
                 reach *= 4
                 begin = max(done, start - reach)
-                encoded = self.library.encode(text[begin:end], add_special_tokens=False)
             meet = min(shared)
             total += left[meet] - left[done]
             done, left, held = meet, right, len(encoded)

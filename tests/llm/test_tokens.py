@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import public_tokenizers
@@ -118,3 +119,27 @@ def test_rank_file_is_the_same_vocabulary():
     coder = bpe.ByteBpe(public_tokenizers.path(bpe.RANKS))
     assert isinstance(coder.library, tiktoken.Encoding)
     assert reference("Is the vocabulary the same? é") == coder.library.encode_ordinary("Is the vocabulary the same? é")
+
+
+def test_a_long_text_is_forgotten_chunk_by_chunk():
+    draw = random.Random(6)
+    words = ["".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 9))) for _ in range(3000)]
+    text = " ".join(draw.choice(words) for _ in range(400_000))
+    coder = bpe.ByteBpe(public_tokenizers.path(bpe.RANKS))
+    longest, parts = max(sum(map(len, p)) for p in coder.parts(text)), list(coder.encoded(text))
+    assert longest <= 2 * coder.chunk and len(parts) >= len(text) // coder.chunk
+    ids = coder.encode(text)
+    assert ids.tolist() == [i for p in parts for i in p.tolist()] == coder.library.encode_ordinary(text)
+
+    tracemalloc.start()
+    for _ in coder.encoded(text):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(text)
+    counter = token_counts.TokenCounter(public_tokenizers.path(token_counts.VOCABULARY))
+    tracemalloc.start()
+    assert counter.count(text) == len(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20 and peak < 8 * len(text)
