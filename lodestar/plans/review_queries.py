@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.fixed_values import STOP_WORDS, TOKEN_PATTERN
 from ..functions.scalars import half_even
-from ..operators import features as Fe, ratings as R, reviews as V, similarity as S, tables as T
-from .registry import query
+from ..operators import dictionary, features as Fe, ratings as R, reviews as V, similarity as S, tables as T
+from ..session import scratch_path
+from ..sources import writers
+from .registry import query, sql_of
 from .shared_sql import BASE
 
 BLANKS = "chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
@@ -164,6 +166,48 @@ def synonym_hits(x):
     return x.documents().filter(X.any_contains(F.col("text"), ["email", "http", "License"])).select("doc_id")
 
 
+PHRASE = "p_name || ' ' || p_partkey"
+# Texts of orders: their parts in order, each by name and number; a part's phrase may begin another's.
+LINES = f"""lines AS (SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS item_id, {PHRASE} AS phrase
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+
+def order_texts(x):
+    part = x.table("part").select("p_partkey", F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("phrase"))
+    lines = x.table("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    ordered = F.sort_array(F.collect_list(F.struct("l_linenumber", "p_partkey", "phrase")))
+    return lines.groupBy(F.col("l_orderkey").alias("order_id")).agg(F.array_join(ordered["phrase"], "; ").alias("text"))
+
+
+def phrases(x, condition: str = "true"):
+    """Every part's phrase, found as a number in brackets."""
+    rows = x.table("part").where(condition).select(F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("phrase"), F.concat(F.lit("["), "p_partkey", F.lit("]")).alias("mark"))
+    return dictionary.Dictionary(rows, "phrase", "mark")
+
+
+@query("dictionary_replace", f"""WITH {LINES}
+SELECT order_id, string_agg('[' || item_id || ']', '; ' ORDER BY line, item_id, phrase) AS replaced FROM lines GROUP BY 1""")
+def dictionary_replace(x):
+    """As many rules as there are parts, replaced in one pass; of phrases that begin alike the longest counts."""
+    return order_texts(x).select("order_id", phrases(x).replace(F.col("text")).alias("replaced"))
+
+
+@query("dictionary_matches", f"""WITH {LINES}
+SELECT order_id, CAST(coalesce(sum(length(phrase) + 2) OVER (PARTITION BY order_id ORDER BY line, item_id, phrase ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS start,
+  CAST(length(phrase) AS INTEGER) AS length, '[' || item_id || ']' AS value FROM lines""")
+def dictionary_matches(x):
+    """Places of all phrases in the texts of orders."""
+    return order_texts(x).select("order_id", F.inline(phrases(x).matches(F.col("text"))))
+
+
+@query("dictionary_hits", f"""WITH {LINES}, needles AS (SELECT {PHRASE} AS needle FROM part WHERE p_size <= 5),
+parts AS (SELECT DISTINCT item_id, phrase, EXISTS (SELECT 1 FROM needles WHERE contains(phrase, needle)) AS hit FROM lines)
+SELECT DISTINCT order_id FROM lines JOIN parts USING (item_id, phrase) WHERE hit""")
+def dictionary_hits(x):
+    """Orders whose text holds the phrase of a small part, if only as the beginning of another."""
+    return order_texts(x).where(phrases(x, "p_size <= 5").contains(F.col("text"))).select("order_id")
+
+
 @query("word_frequency", f"SELECT word, count(*) AS n FROM (SELECT unnest({WORDS}) AS word FROM documents) GROUP BY word")
 def word_frequency(x):
     return Fe.word_frequency(x.documents(), X.words(F.col("text")))
@@ -238,6 +282,17 @@ def quality_review_table(x):
     return V.quality_table(x.reviews())
 
 
+@query("review_counters", f"""WITH {REVIEWS}, kept AS ({sql_of("quality_review_table")})
+SELECT (SELECT count(*) FROM reviews) AS reviews_in, (SELECT count(*) FROM reviews WHERE value IS NULL) AS without_text,
+  (SELECT count(*) FROM reviews) - count(*) AS removed, count(*) AS kept, sum(rating_x10) AS kept_x10 FROM kept""")
+def review_counters(x):
+    """Reviews that come in, that cleaning removes, and that are kept: counted by the one job that writes the table."""
+    seen, reviews = writers.counted(x.reviews(), {"reviews_in": F.count(F.lit(1)), "without_text": F.count_if(F.col("value").isNull())})
+    kept = writers.write_counted(V.quality_table(reviews), scratch_path(x.spark, "reviews"), {"kept": F.count(F.lit(1)), "kept_x10": F.sum("rating_x10")})
+    counters = seen.get
+    return writers.counter_row(x.spark, counters | {"removed": counters["reviews_in"] - kept["kept"]} | kept)
+
+
 _PLAN = f"""{REVIEWS}, st AS (SELECT *, CAST(round_even(rating_x10 / 10.0, 0) AS INTEGER) AS stratum FROM reviews),
 plan AS (SELECT item_id, stratum, total, wanted, CAST(round_even(n / total * wanted, 0) AS BIGINT) AS quota FROM (
   SELECT item_id, stratum, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY item_id) AS BIGINT) AS total,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.tables import sanitise_columns
 from . import schemas
@@ -98,3 +98,25 @@ def put_batches(rows: DataFrame, put: Callable[[list[dict]], None], size: int =
             put(batch)
 
     rows.foreachPartition(send)
+
+
+def counted(df: DataFrame, counters: dict[str, Column]) -> tuple[Observation, DataFrame]:
+    """``df`` with counters that whatever job runs it takes on the way; read them from the observation's ``get``."""
+    seen = Observation()
+    return seen, df.observe(seen, *[c.alias(name) for name, c in counters.items()])
+
+
+def write_counted(df: DataFrame, path: str, counters: dict[str, Column]) -> dict:
+    """Write a table and return counters of the rows written, taken by the writing tasks themselves.
+
+    No second job reads the table. Only tasks that end well are counted, and rows are counted after
+    the last shuffle, so a task that runs twice counts once. An empty table gives zero counts and null sums.
+    """
+    seen, rows = counted(df, counters)
+    rows.write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def counter_row(spark: SparkSession, counters: dict[str, int | None]) -> DataFrame:
+    """Counters as a table of one row."""
+    return spark.range(1).select(*[F.lit(value).cast("bigint").alias(name) for name, value in counters.items()])
