@@ -60,9 +60,13 @@ class Inputs:
         Most queries read it more than once with different columns, which would
         otherwise repeat the join and the dedup for every reading.
         """
-        path = self.written("ratings", lambda p: self.first_ratings().write.parquet(p))
+        path = self.ratings_path()
         return self.spark.read.schema("user_id BIGINT, item_id BIGINT, rating_x10 INT").parquet(path)
 
+    def ratings_path(self) -> str:
+        """The folder of the ratings, written once per session."""
+        return self.written("ratings", lambda p: self.first_ratings().write.parquet(p))
+
     def first_ratings(self) -> DataFrame:
         """``(user_id, item_id, rating_x10)``: the first order line of each user and item."""
         first = tables.keep_first(

@@ -10,9 +10,9 @@ from ..functions.fixed_values import (
 from ..operators import catalog, extract as X
 from ..session import scratch_path
 from ..sources import readers, writers
-from ..streaming import jobs
+from ..streaming import jobs, keyed
 from .inputs import CATALOG_CATEGORIES
-from .registry import query
+from .registry import query, sql_of
 
 
 def items(x):
@@ -223,6 +223,17 @@ def catalog_fact(x):
         *[f"`{flag}`" for flag in ACTUALLY_MAJOR_CATEGORIES.values()], "kickstarted", "low_entry", "family")
 
 
+@query("catalog_fact_counters", f"""
+WITH facts AS ({sql_of("catalog_fact")}) SELECT count(*) AS items, sum(num_ratings) AS ratings,
+  count(*) FILTER (kickstarted = 1) AS kickstarted, count(*) FILTER (low_entry = 1) AS low_entry, count(*) FILTER (family IS NULL) AS without_family FROM facts""")
+def catalog_fact_counters(x):
+    """Counters of the catalog job, taken by the tasks that write the fact table."""
+    counters = writers.write_counted(catalog_fact(x), scratch_path(x.spark, "facts"), {
+        "items": F.count(F.lit(1)), "ratings": F.sum("num_ratings"), "kickstarted": F.count_if(F.col("kickstarted") == 1),
+        "low_entry": F.count_if(F.col("low_entry") == 1), "without_family": F.count_if(F.col("family").isNull())})
+    return writers.counter_row(x.spark, counters)
+
+
 # --- streams, run until nothing is left -------------------------------------------------------
 
 @query("incremental_xml_ingest", f"WITH {COUNTS} SELECT p_partkey AS item_id, CAST(coalesce(n, 0) AS INTEGER) AS num_ratings FROM part LEFT JOIN c ON l_partkey = p_partkey")
@@ -251,3 +262,39 @@ def stream_item_stats(x):
     jobs.item_stats(events, "event_type", "value", target, checkpoint).awaitTermination()
     latest = jobs.latest_stats(x.spark, target, "event_type")
     return latest.select("event_type", "n", "total", "total_sq")
+
+
+@query("stream_first_of_keys", "SELECT user_id, event_type, count(*) AS times, epoch_us(min(ts)) // 1000 AS first_ms FROM events GROUP BY 1, 2")
+def stream_first_of_keys(x):
+    """Keyed state instead of dropped duplicates; beside each key's first row the rows that the batch table has."""
+    target, checkpoint = scratch_path(x.spark, "first"), scratch_path(x.spark, "checkpoint")
+    events = jobs.read_events(x.spark, x.folder, "events.parquet", x.table("events").schema).select("ts", "user_id", "event_type")
+    keyed.write_first_of_keys(events, "ts", ["user_id", "event_type"], target, checkpoint).awaitTermination()
+    times = x.table("events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("times"))
+    first = x.spark.read.parquet(target).select("user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("first_ms"))
+    return first.join(times, ["user_id", "event_type"]).select("user_id", "event_type", "times", "first_ms")
+
+
+@query("stream_rating_bands", sql_of("item_rating_bands"))
+def stream_rating_bands(x):
+    """The bands of every item from totals that are updated in place."""
+    target, checkpoint = scratch_path(x.spark, "totals"), scratch_path(x.spark, "checkpoint")
+    rated = x.ratings()
+    stream = x.spark.readStream.schema(rated.schema).parquet(x.ratings_path()).withColumn("rating", F.col("rating_x10") / F.lit(10.0))
+    keyed.write_running_totals(stream, "item_id", "rating", target, checkpoint).awaitTermination()
+    return keyed.bands_of_totals(jobs.latest_stats(x.spark, target, "item_id"), "item_id")
+
+
+QUIET_HOURS = 12
+
+
+@query("stream_settled_users", f"""
+WITH u AS (SELECT user_id, epoch_us(max(ts)) // 1000 AS last_ms, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_units FROM events GROUP BY 1)
+SELECT user_id, n, total_units, last_ms, last_ms + {QUIET_HOURS} * 3600000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) AS settled FROM u""")
+def stream_settled_users(x):
+    """Totals of every user, and whether event time has passed their newest event by some hours: told by timers."""
+    target, checkpoint = scratch_path(x.spark, "settled"), scratch_path(x.spark, "checkpoint")
+    events = jobs.read_events(x.spark, x.folder, "events.parquet", x.table("events").schema)
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    keyed.write_running_totals(events, "user_id", "value", target, checkpoint, unit=100, time="ts", quiet_ms=QUIET_HOURS * 3_600_000).awaitTermination()
+    return jobs.latest_stats(x.spark, target, "user_id").select("user_id", "n", "total_units", "last_ms", "settled")

@@ -69,6 +69,12 @@ def item_stats(stream: DataFrame, key: str, value: str, target: str, checkpoint:
         F.count(F.lit(1)).alias("n"), F.sum(units).alias("total_units"), F.sum(units * units).alias("total_sq_units"))
     totals = totals.select(key, "n", (F.col("total_units") / unit).alias("total"), (F.col("total_sq_units") / unit ** 2).alias("total_sq"))
 
+    return write_changes(totals, key, target, checkpoint, merge_every)
+
+
+def write_changes(rows: DataFrame, key: str, target: str, checkpoint: str, merge_every: int = MERGE_EVERY) -> StreamingQuery:
+    """Rows of the keys that each micro-batch changed, in a folder of the batch, merged from time to time."""
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id:012d}")
@@ -76,7 +82,7 @@ def item_stats(stream: DataFrame, key: str, value: str, target: str, checkpoint:
             latest_stats(spark, target, key, batch_id).write.mode("overwrite").parquet(f"{target}/merged={batch_id:012d}")
 
     return (
-        totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+        rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
         .foreachBatch(merge).trigger(availableNow=True).start()
     )
 
