@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import cap, half_even
-from ..operators import models, ordering, ratings as R, tables as T
+from ..operators import models, ordering, quantiles, ratings as R, tables as T
 from ..sources import writers
 from .registry import query
 from .shared_sql import BASE
@@ -182,6 +182,30 @@ def iqr_filter(x):
     return R.iqr_filter(counts, "n", 0.75)
 
 
+_PRICES = "l_extendedprice AS price, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge"
+
+
+def _prices(x):
+    return x.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"), (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("charge"))
+
+
+@query("wide_quantiles", " UNION ALL ".join(f"""
+SELECT '{c}' AS name, CAST({p} AS DOUBLE) AS probability, round_even(quantile_cont({c}, {p}), 4) AS quantile FROM (SELECT {_PRICES} FROM lineitem)""" for c in ("price", "charge") for p in (0.05, 0.25, 0.5, 0.75, 0.95)))
+def wide_quantiles(x):
+    """Exact quantiles of columns in which hardly a value comes twice, from ranges of at most 1,000 values."""
+    probabilities = [0.05, 0.25, 0.5, 0.75, 0.95]
+    found = quantiles.exact_quantiles(_prices(x), ["price", "charge"], probabilities, few=1_000)
+    rows = [(name, p, q) for name, values in found.items() for p, q in zip(probabilities, values)]
+    return x.spark.createDataFrame(rows, "name string, probability double, quantile double").withColumn("quantile", half_even(F.col("quantile"), 4))
+
+
+@query("iqr_filter_wide", f"""
+WITH v AS (SELECT l_orderkey, l_linenumber, {_PRICES} FROM lineitem), q AS (SELECT quantile_cont(price, 0.25) AS p1, quantile_cont(price, 0.75) AS p3, quantile_cont(charge, 0.25) AS c1, quantile_cont(charge, 0.75) AS c3 FROM v)
+SELECT l_orderkey, l_linenumber, price FROM v, q WHERE price >= p1 - (p3 - p1) * 0.25 AND price <= p3 + (p3 - p1) * 0.25 AND charge >= c1 - (c3 - c1) * 0.25 AND charge <= c3 + (c3 - c1) * 0.25""")
+def iqr_filter_wide(x):
+    return quantiles.inside_fences(_prices(x), ["price", "charge"], 0.25, few=1_000).select("l_orderkey", "l_linenumber", "price")
+
+
 @query("all_outside_users", """
 SELECT user_id, bool_and(k > 80) AS above, bool_and(k < 20) AS below
 FROM (SELECT l_orderkey AS user_id, CAST(l_quantity * 2 AS INTEGER) AS k FROM lineitem)
