@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import cap, half_even
 from ..operators import models, ordering, quantiles, ratings as R, tables as T
-from ..sources import writers
-from .registry import query
+from ..sources import kv_table, writers
+from .registry import query, sql_of
 from .shared_sql import BASE
 
 STAMP = "20240101"
@@ -81,6 +81,38 @@ def kv_rating_rows(x):
     return R.rating_rows(x.ratings().withColumn("value", F.lit(None).cast("string")), STAMP)
 
 
+_KV = "game_id string, username string, rating string, value string, updated_at string"
+
+
+def _kv_table(x) -> str:
+    """Rating rows put by three jobs: older values, the newest ones, and the newest once more under the same name."""
+
+    def write(path):
+        rows = R.rating_rows(x.ratings().withColumn("value", F.lit(None).cast("string")), STAMP)
+        kv_table.put(rows.withColumns({"rating": F.lit("0.0"), "updated_at": F.lit("20230101")}), path, "older", key=["game_id"])
+        for _ in range(2):
+            kv_table.put(rows, path, "newest", key=["game_id"])
+
+    return x.written("kv-table", write)
+
+
+@query("kv_table_rows", sql_of("kv_rating_rows"))
+def kv_table_rows(x):
+    """What is read back of a key-value table after rows were put over older ones, some jobs twice."""
+    return kv_table.newest(x.spark, _kv_table(x), _KV, ["game_id", "username"]).select("game_id", "username", "rating", "value", "updated_at")
+
+
+@query("kv_table_lookup", BASE + """
+SELECT CAST(item_id AS VARCHAR) AS game_id, CAST(user_id AS VARCHAR) AS username, printf('%.1f', rating_x10 / 10.0) AS rating
+FROM ratings WHERE item_id IN (SELECT s_suppkey FROM supplier ORDER BY s_acctbal, s_suppkey LIMIT 3)""")
+def kv_table_lookup(x):
+    """All rows of three keys, from a table clustered by key: the filter reaches the scan, which skips row groups."""
+    keys = x.table("supplier").orderBy("s_acctbal", "s_suppkey").limit(3).select(F.col("s_suppkey").cast("string").alias("k"))
+    wanted = [r.k for r in keys.collect()]
+    found = kv_table.newest(x.spark, _kv_table(x), _KV, ["game_id", "username"])
+    return found.where(F.col("game_id").isin(wanted)).select("game_id", "username", "rating")
+
+
 @query("kv_lookup_join", BASE + """
 SELECT CAST(item_id AS VARCHAR) AS game_id, CAST(user_id AS VARCHAR) AS username
 FROM ratings WHERE item_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)""")
