@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import cap, half_even
-from ..operators import models, ordering, quantiles, ratings as R, tables as T
+from ..operators import models, ordering, quantiles, ratings as R, sketches, tables as T
 from ..sources import kv_table, writers
 from .registry import query, sql_of
 from .shared_sql import BASE
@@ -379,3 +379,16 @@ FROM lineitem GROUP BY 1, 2""")
 def best_score_per_key(x):
     return x.table("lineitem").groupBy(F.col("l_suppkey").alias("item_id"), F.col("l_linenumber").alias("k")).agg(
         F.max("l_extendedprice").alias("best"), F.max_by("l_orderkey", F.struct("l_extendedprice", "l_orderkey")).alias("best_order"))
+
+
+@query("coverage_merged", """
+WITH v AS (SELECT strftime(l_shipdate, '%Y-%m') AS month, l_partkey AS item_id FROM lineitem), k AS (SELECT p_partkey AS item_id FROM part WHERE p_size > 10)
+SELECT month, count(DISTINCT v.item_id) AS seen, count(DISTINCT k.item_id) AS covered, round_even(count(DISTINCT k.item_id) / (SELECT count(*) FROM k), 4) AS share
+FROM v LEFT JOIN k USING (item_id) GROUP BY 1""")
+def coverage_merged(x):
+    """Catalog coverage by month from sketches of months and flags, written once; exact up to 65,536 items a month."""
+    lines = x.table("lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("month"), "l_returnflag", F.col("l_partkey").alias("item_id"))
+    path = x.written("month-sketches", lambda p: sketches.part_sketches(lines, ["month", "l_returnflag"], "item_id", 16).write.parquet(p))
+    known = x.table("part").where("p_size > 10").select(F.col("p_partkey").alias("item_id"))
+    found = sketches.coverage(x.spark.read.parquet(path), ["month"], known, "item_id", 16)
+    return found.withColumn("share", half_even(F.col("share"), 4))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.fixed_values import STOP_WORDS, TOKEN_PATTERN
 from ..functions.scalars import half_even
-from ..operators import dictionary, features as Fe, ratings as R, reviews as V, similarity as S, tables as T
+from ..operators import dictionary, features as Fe, plugin, ratings as R, reviews as V, similarity as S, tables as T
 from ..session import scratch_path
 from ..sources import writers
 from .registry import query, sql_of
@@ -436,3 +436,27 @@ def idempotent_upsert(x):
 def delete_by_uuid(x):
     objects = _objects(x)
     return V.delete(objects, objects.filter("lang = 'en'"))
+
+
+_VOWELS = "aeiou"
+
+
+def _vowel_counts():
+    """Stands for a user's model: counts of five letters; raises on texts that have none of them."""
+
+    def embed(texts):
+        made = [[t.count(v) for v in _VOWELS] for t in texts]
+        if not all(map(any, made)):
+            raise ValueError("no letters")
+        return made
+
+    return embed
+
+
+@query("model_map", f"""
+WITH v AS (SELECT doc_id, text, {", ".join(f"length(text) - length(replace(text, '{c}', '')) AS {c}" for c in _VOWELS)} FROM documents)
+SELECT doc_id, CASE WHEN a + e + i + o + u > 0 THEN concat_ws(',', a, e, i, o, u) END AS vec, CASE WHEN a + e + i + o + u = 0 THEN 'ValueError: no letters' END AS error FROM v""")
+def model_map(x):
+    """Every text through a user's function in batches; rows at fault are rejected one by one, not with their batch."""
+    mapped = plugin.map_batches(x.documents().select("doc_id", "text"), "text", "vec", "array<int>", _vowel_counts, tries=1)
+    return mapped.select("doc_id", F.when(F.col("vec").isNotNull(), F.array_join(F.col("vec").cast("array<string>"), ",")).alias("vec"), F.col(plugin.ERROR).alias("error"))
