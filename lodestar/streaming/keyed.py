@@ -3,7 +3,8 @@
 Each key's state is one small value; a micro-batch touches the keys it brings and no others, so
 the cost of a batch follows its own rows and not the keys seen so far. State is spilled to the
 executor's disk and its changes are kept in the checkpoint, so a lost executor's keys come back
-from there.
+from there. A key's rows of one micro-batch pass one task in bounded frames; where a hot key brings
+too many of them, ``jobs.item_stats`` aggregates before the shuffle, or batches are made smaller.
 """
 
 from __future__ import annotations
