@@ -62,3 +62,25 @@ def test_lowered_support_keeps_pairs_in_their_tasks(spark):
     out = prediction.lowered_support(df, high, df.select("user_id").distinct(), 4, 60)
     folder = next(f for f in out.inputFiles() if "low-support" in f).rsplit("/", 1)[0]
     assert spark.read.parquet(folder).count() <= 50 * 5  # a row per user and common count; before, one per pair
+
+
+def test_grid_votes_stay_in_their_tasks(spark):
+    near = spark.createDataFrame([(5, 1, 2, 0.5), (3, 1, 2, 0.5), (3, 1, 3, 1.0)], "v int, a long, b long, sim double")
+    rated = spark.createDataFrame([(2, 7, 500), (3, 7, 500), (2, 8, None), (2, None, 300), (3, None, 100)], "user_id long, item_id long, c long")
+    users = spark.createDataFrame([(1, 1.0)], "user_id long, mean_rating double")
+    out = prediction.grid_predictions(near, rated, users, (5, 3), 1)
+    got = {(r.v, r.item_id): (r.votes, r.estimate) for r in out.collect()}
+    assert got == {(5, 7): (1, 3.5), (3, 7): (2, 4.8), (5, None): (1, 2.5), (3, None): (2, 2.2)}
+    assert "HashAggregate" not in plan(out)  # before, each met row was shuffled to its user and item
+
+
+def test_item_predictions_are_summed_in_cells(spark):
+    rng = random.Random(8)
+    similar = spark.createDataFrame([(a, b, rng.random()) for a in range(12) for b in range(12) if a != b], "a long, b long, sim double")
+    rated = spark.createDataFrame([(u, i, rng.choice([-20, 5, 30, None])) for u in range(30) for i in rng.sample(range(12), 4)], "user_id long, item_id long, c long")
+    items = spark.createDataFrame([(i, 5.0 + i / 9) for i in range(11)], "item_id long, mean_rating double")
+    users = spark.createDataFrame([(u, 5.0) for u in range(25)], "user_id long, mean_rating double")
+    small, large = (prediction.item_predictions(similar, rated, items, users, broadcast_rows=n) for n in (10 ** 6, 0))
+    rows = [{(r.user_id, r.item_id): round(r.estimate, 9) for r in df.collect()} for df in (small, large)]
+    assert rows[0] == rows[1] and rows[0]
+    assert "HashAggregate" not in plan(large) and "Join" not in plan(large)
