@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodestar.operators import cells, pairs, prediction
 
@@ -84,3 +85,24 @@ def test_item_predictions_are_summed_in_cells(spark):
     rows = [{(r.user_id, r.item_id): round(r.estimate, 9) for r in df.collect()} for df in (small, large)]
     assert rows[0] == rows[1] and rows[0]
     assert "HashAggregate" not in plan(large) and "Join" not in plan(large)
+
+
+def test_votes_of_neighbours_stay_in_their_tasks(spark, monkeypatch):
+    """Before, each met row of a neighbour and a rating was shuffled to its user and item."""
+    rng = random.Random(9)
+    near = spark.createDataFrame([(a, b, rng.choice([None, rng.uniform(-1, 1)])) for a in range(15) for b in rng.sample(range(15), 6)] * 2, "a long, b long, sim double")
+    rated = spark.createDataFrame([(u, rng.choice([None, *range(9)]), rng.choice([None, -250, 40, 310])) for u in range(15) for _ in range(6)], "user_id long, item_id long, c long")
+    users = spark.createDataFrame([(u, 5.0 + u / 7) for u in range(13)], "user_id long, mean_rating double")
+    texts = [df.select(*[F.col(c).cast("string") if c in ("a", "user_id") else F.col(c) for c in df.columns]) for df in (near, rated, users)]
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 40)
+    for made in (prediction.neighbour_predictions, prediction.weighted_predictions):
+        summed, joined_ = made(near, rated, users, 2), made(texts[0].withColumn("b", F.col("b").cast("string")), *texts[1:], 2)
+        assert "HashAggregate" not in plan(summed)
+        got, want = ({(str(r.user_id), r.item_id, r.votes): r.estimate for r in df.collect()} for df in (summed, joined_))
+        assert got.keys() == want.keys() and got and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in got)
+
+
+def test_neither_table_is_whole_in_a_task():
+    for rows, others, tasks in ((127_000_000, 216_000_000, 12), (1, 300_000_000, 8), (0, 0, 4)):
+        mine, theirs = cells.two_counts(rows, others, tasks)
+        assert rows / mine <= cells.BLOCK_ROWS and others / theirs <= cells.BLOCK_ROWS and mine * theirs >= 2 * tasks
