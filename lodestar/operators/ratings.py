@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fixed_values import MIN_USER_RATINGS
 from ..functions.scalars import bands, centered_units, fixed_text, half_even
+from ..session import BROADCAST_ROWS, wide_tasks
 
 
 def active_users(ratings: DataFrame, minimum: int = MIN_USER_RATINGS) -> DataFrame:
@@ -155,28 +158,46 @@ def clean_block(ratings: DataFrame, known_items: DataFrame, minimum: int = MIN_U
     return active_users(ratings.join(known_items.select("item_id"), "item_id", "left_semi"), minimum)
 
 
+# Rows of a product that one task makes, and the most tasks.
+_PRODUCT_ROWS, _PRODUCT_TASKS = 5_000_000, 20_000
+
+
+def _user_blocks(users: DataFrame, catalog: DataFrame, block: int):
+    """``(user_id, _b)`` for each user and block of the catalog; ``(_b, _items)``; ``_b`` of an item; the tasks that their product asks for."""
+    n_users, n_items = users.count(), catalog.count()
+    blocks = max(1, ceil(n_items / block))
+    place = F.pmod(F.xxhash64("item_id"), F.lit(blocks).cast("long"))
+    # In structs, because a list keeps no null.
+    items = catalog.select("item_id").groupBy(place.alias("_b")).agg(F.collect_list(F.struct("item_id")).alias("_items"))
+    tasks = min(_PRODUCT_TASKS, max(wide_tasks(users.sparkSession), ceil(n_users * n_items / _PRODUCT_ROWS)))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    wanted = users.select("user_id").withColumn("_b", every)
+    return wanted, F.broadcast(items) if n_items <= BROADCAST_ROWS else items, place, tasks
+
+
 def every_item(users: DataFrame, catalog: DataFrame, block: int = 4096) -> DataFrame:
     """``(user_id, item_id)`` of a stated set of users with all items of the catalog.
 
-    The catalog is cut into blocks; a user row is copied once per block and meets
-    the block's items in an equi-join, so no task or array holds the catalog.
+    The catalog is cut into blocks; a user row is copied once per block and meets the block's list
+    of items, so no task or list holds the catalog, and only lists and user rows are shuffled, not their product.
     """
-    blocks = catalog.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.lit(1)).alias("b")).scalar()
-    items = catalog.select("item_id").withColumn("_b", F.pmod(F.xxhash64("item_id"), blocks))
-    wanted = users.select("user_id").withColumn(
-        "_b", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    )
-    return wanted.join(items, "_b").select("user_id", "item_id")
+    wanted, items, _, tasks = _user_blocks(users, catalog, block)
+    return wanted.repartition(tasks, "user_id", "_b").join(items, "_b").select("user_id", F.inline("_items"))
 
 
 def fill_unrated(users: DataFrame, catalog: DataFrame, ratings: DataFrame, block: int = 4096) -> DataFrame:
     """Zero rows for every catalog item that users of a stated set have not rated.
 
-    The output is users x catalog by definition, so the set must be a chosen one.
+    The output is users x catalog by definition, so the set must be a chosen one. What a user has rated of
+    a block is a list beside the block's, so the product is not shuffled to meet the ratings.
     """
-    rated = ratings.select("user_id", "item_id")
-    return every_item(users, catalog, block).join(rated, ["user_id", "item_id"], "left_anti").select(
-        "user_id", "item_id", F.lit(0).alias("rating_x10"))
+    wanted, items, place, tasks = _user_blocks(users, catalog, block)
+    mine = ratings.select("user_id", "item_id").join(users.select("user_id"), "user_id", "left_semi")
+    rated = mine.groupBy("user_id", place.alias("_b")).agg(F.collect_set("item_id").alias("_rated"))
+    # Spread after the join, which would take the session's number of partitions.
+    every = wanted.join(rated, ["user_id", "_b"], "left").repartition(tasks, "user_id", "_b").join(items, "_b").select("user_id", "_rated", F.inline("_items"))
+    unrated = ~F.coalesce(F.array_contains("_rated", F.col("item_id")), F.lit(False))
+    return every.where(unrated).select("user_id", "item_id", F.lit(0).alias("rating_x10"))
 
 
 def surrogate_blocks(users: DataFrame, block: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import half_even
 from ..operators import evaluation as E, factorisation, models, ordering, pairs as P, prediction, ratings as R, synthetic
-from ..session import materialise
+from ..session import materialise, sent
 from .registry import query, sql_of
 from .shared_sql import BASE, ITEM_PAIRS, K, MACRO, N, PREDICTIONS, STORE, USER_NEIGHBOURS, V, pairs, scores, synthetic as synthetic_sql, user_pairs
 
@@ -382,12 +382,17 @@ predictions AS (SELECT c.user_id, s_suppkey AS item_id, mu + coalesce(bi, 0) + c
   LEFT JOIN i10 ON i10.item_id = s_suppkey LEFT JOIN u10 ON u10.user_id = c.user_id),
 """ + scores("predictions") + f"SELECT {{MACRO}} FROM user_scores WHERE overlap > 0".replace("{MACRO}", MACRO))
 def model_scores(x):
-    """Scores of the bias model over all items, for the users of the validation part."""
+    """Scores of the bias model over all items, for the users of the validation part.
+
+    What belongs to these users, and the items' biases, go to every task where they are small, so that
+    the product of users and items is not shuffled.
+    """
     ratings = x.ratings()
     mu, items, users = models.bias_baseline(ratings, sweeps=10)
     chosen_ = models.split_users(x.table("customer").select(F.col("c_custkey").alias("user_id"))).where("part = 'validation'")
-    estimates = models.bias_predictions(R.every_item(chosen_.select("user_id"), catalog(x)), mu, items, users)
-    return E.macro_scores(E.user_scores(estimates, actual(x), R.means(ratings, "user_id")))
+    mine = lambda rows: sent(rows.join(chosen_.select("user_id"), "user_id", "left_semi"))
+    estimates = models.bias_predictions(R.every_item(chosen_.select("user_id"), catalog(x)), mu, sent(items), mine(users))
+    return E.macro_scores(E.user_scores(estimates, mine(actual(x)), mine(R.means(ratings, "user_id"))))
 
 
 @query("user_split", _SPLIT)
