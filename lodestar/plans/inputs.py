@@ -12,6 +12,9 @@ from ..sources import writers
 CATALOG_CATEGORIES = [
     *DROP_SUBCATEGORIES, *ACTUALLY_MECHANICS, *ACTUALLY_THEMES[:20], *ACTUALLY_MAJOR_CATEGORIES, "Card Game", "Puzzle"]
 
+# Nested items, about 4 KB each, in a file.
+ITEM_RECORDS = 20_000
+
 _WRITTEN: dict[tuple[str, str, str, str], str] = {}
 
 
@@ -223,7 +226,7 @@ class Inputs:
         )
 
     def item_files(self) -> str:
-        return self.written("items", lambda path: writers.write_items(self.nested(), path))
+        return self.written("items", lambda path: writers.write_items(self.nested(), path, records=ITEM_RECORDS, compression="gzip"))
 
     def catalog_files(self) -> str:
         """The nested items with one more category each, by size, from the rule lists and beside them."""
@@ -232,7 +235,7 @@ class Inputs:
             F.lit("boardgamecategory").alias("_type"), F.get(names, F.col("yearpublished._value") % len(CATALOG_CATEGORIES)).alias("_value"),
             F.lit(None).cast("string").alias("_inbound"))
         items = self.nested().withColumn("link", F.concat("link", F.array(more)))
-        return self.written("catalog", lambda path: writers.write_items(items, path))
+        return self.written("catalog", lambda path: writers.write_items(items, path, records=ITEM_RECORDS, compression="gzip"))
 
     def comment_files(self) -> str:
         """Rating pages: an item element per comment, so that no item is gathered in one task."""

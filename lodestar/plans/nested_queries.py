@@ -11,7 +11,7 @@ from ..operators import catalog, extract as X
 from ..session import scratch_path
 from ..sources import readers, writers
 from ..streaming import jobs, keyed
-from .inputs import CATALOG_CATEGORIES
+from .inputs import CATALOG_CATEGORIES, ITEM_RECORDS
 from .registry import query, sql_of
 
 
@@ -163,7 +163,7 @@ def poll_good_options(x):
 def xml_compaction(x):
     source, target = scratch_path(x.spark, "small"), scratch_path(x.spark, "combined")
     grouped = x.nested().withColumn("grp", F.concat(F.lit("group"), (F.col("yearpublished._value") - 1950).cast("int") % 7))
-    writers.write_items(grouped, source, by="grp")
+    writers.write_items(grouped, source, by="grp", records=ITEM_RECORDS)
     return writers.compact_xml(x.spark, source, target)
 
 

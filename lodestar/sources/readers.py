@@ -8,8 +8,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from . import schemas
 
 
+# Files of items, plain or compressed.
+ITEM_FILES = "*.{xml,xml.gz}"
+
+
 def xml_items(spark: SparkSession, path: str, schema: str = schemas.ITEM, keep_corrupt: bool = False) -> DataFrame:
-    """Every ``<item>`` of every ``.xml`` file below ``path``, with a declared schema.
+    """Every ``<item>`` of every ``.xml`` or ``.xml.gz`` file below ``path``, with a declared schema.
 
     The parser only materialises declared elements. Numbers are scanned as text and
     cast afterwards, so a value such as "N/A" becomes null where the parser itself
@@ -19,7 +23,7 @@ def xml_items(spark: SparkSession, path: str, schema: str = schemas.ITEM, keep_c
     scanned = schemas.as_text(wanted)
     reader = (
         spark.read.format("xml").option("rowTag", "item").option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", ITEM_FILES).option("recursiveFileLookup", "true")
     )
     if keep_corrupt:
         scanned = StructType([*scanned.fields, StructField(schemas.CORRUPT, StringType())])

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.tables import sanitise_columns
+from ..session import materialise, wide_tasks
 from . import schemas
 
 
@@ -27,10 +29,16 @@ def write(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_items(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None) -> str:
-    """Items as XML, optionally one folder per value of a column."""
+def write_items(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None, records: int | None = None,
+                compression: str | None = None) -> str:
+    """Items as XML, optionally one folder per value of a column.
+
+    A file is read by one task, as a whole: ``records`` is the most that one holds.
+    """
     writer = df.write.mode(mode).format("xml").option("rowTag", "item").option("rootTag", "items").option(
         "extension", "xml")
+    for name, value in (("maxRecordsPerFile", records), ("compression", compression)):
+        writer = writer if value is None else writer.option(name, value)
     (writer.partitionBy(by) if by else writer).save(path)
     return path
 
@@ -48,26 +56,35 @@ def csv_to_tsv(spark: SparkSession, source: str, target: str) -> str:
     return target
 
 
+# Bytes of text that a file of items holds about.
+FILE_BYTES = 128 << 20
+
+
 def compact_xml(spark: SparkSession, source: str, target: str, records_per_file: int = 200_000,
                 schema: str = schemas.ITEM) -> DataFrame:
     """Many small ``<group>_<i>.xml`` files to few per group; returns items per group.
 
     The group is the file name (or ``grp=`` folder) up to the first underscore.
     Rows spread over all tasks by group and item id, so a group with a third of
-    all items is written by many tasks; size limits come from the writer.
+    all items is written by many tasks. A file has at most ``records_per_file`` items and
+    about ``FILE_BYTES``, twice that at most by the items' mean size: a task reads a file as a whole.
     """
     from .readers import xml_items
 
     items = xml_items(spark, source, schema)
     folder = F.regexp_extract("_metadata.file_path", r"/grp=([^/]+)/", 1)
     stem = F.split("_metadata.file_name", "[_.]")[0]
-    grouped = items.withColumn("combined", F.when(folder != "", folder).otherwise(stem))
-    sizes = grouped.groupBy("combined").agg(F.count(F.lit(1)).alias("n"))
-    slots = sizes.select("combined", F.ceil(F.col("n") / records_per_file).cast("long").alias("slots"))
+    combined = F.when(folder != "", folder).otherwise(stem).alias("combined")
+    grouped = items.withColumn("combined", combined)
+    files = items.groupBy(combined, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialise(files.groupBy("combined").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")), "group-sizes")
+    whole = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    slots = sizes.select("combined", F.ceil(F.greatest(F.col("n") / records_per_file, F.col("bytes") / FILE_BYTES)).cast("long").alias("slots"))
     spread = grouped.join(slots, "combined").withColumn(
         "slot", F.pmod(F.xxhash64("_id"), F.col("slots"))
-    ).repartition("combined", "slot").drop("slots", "slot")
-    write_items(spread, target, by="combined")
+    ).repartition(max(wide_tasks(spark), ceil(2 * whole["bytes"] / FILE_BYTES)), "combined", "slot").drop("slots", "slot")
+    most = max(1, min(records_per_file, 2 * FILE_BYTES * whole["n"] // max(whole["bytes"], 1)))
+    write_items(spread, target, by="combined", records=most)
     written = xml_items(spark, target, schema)
     return written.groupBy(
         F.regexp_extract("_metadata.file_path", r"/combined=([^/]+)/", 1).alias("combined")

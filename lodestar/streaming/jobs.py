@@ -9,14 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..sources import schemas
-from ..sources.readers import typed_items
+from ..sources.readers import ITEM_FILES, typed_items
 
 
 def ingest_xml(spark: SparkSession, source: str, target: str, checkpoint: str) -> StreamingQuery:
     """Parse XML files that were not seen before and append their items to a table."""
     wanted = StructType.fromDDL(schemas.ITEM)
     items = (
-        spark.readStream.format("xml").option("rowTag", "item").option("pathGlobFilter", "*.xml")
+        spark.readStream.format("xml").option("rowTag", "item").option("pathGlobFilter", ITEM_FILES)
         .option("recursiveFileLookup", "true").schema(schemas.as_text(wanted)).load(source)
     )
     flat = typed_items(items, wanted).select(
