@@ -81,3 +81,40 @@ def test_counters_of_a_write(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "a")).count() == 100
     assert writers.write_counted(frame.where("id < 0"), str(tmp_path / "b"), counters) == {"rows": 0, "held": 0, "total": None}
     assert writers.counter_row(spark, got | {"none": None}).first().asDict() == got | {"none": None}
+
+
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_a_large_dictionary_finds_the_same(spark, monkeypatch, one_hash):
+    """Beyond the automaton's size, where there was an error, hashes find the patterns; patterns that share one are compared."""
+    import numpy as np
+
+    from lodestar.operators import dictionary
+
+    rng = random.Random(9)
+    letters = "abé\U0001f600"
+    entries = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 9))): f"<{i}>" for i in range(300)}
+    texts = ["".join(rng.choice(letters + "x") for _ in range(rng.randint(0, 60))) for _ in range(100)] + [None, "", "ab" * 50]
+    rows = spark.createDataFrame(list(entries.items()), "k string, v string")
+    monkeypatch.setattr(dictionary, "AUTOMATON_CHARACTERS", 100)
+    monkeypatch.setattr(dictionary, "_JOINED", 500)
+    assert Dictionary(rows, "k", "v").indexed
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    if one_hash:
+        import pyarrow as pa
+
+        monkeypatch.setattr(dictionary, "_mixed", lambda h: np.zeros(len(h), "uint64"))
+        held = dictionary.Index(pa.array(list(entries)), pa.array(list(entries.values())))
+        some = [t for t in texts if t is not None]
+        assert [[(s, e - s, v) for s, e, v in spans] for spans in held.leftmost_longest(some)] == [plain_matches(entries, t) for t in some]
+        return
+    words = Dictionary(rows, "k", "v")
+    for row in frame.select("id", words.matches("text").alias("m"), words.replace("text").alias("r"), words.contains("text").alias("c"), words.all_values("text").alias("v")).collect():
+        text = texts[row.id]
+        if text is None:
+            assert (row.m, row.r, row.c, row.v) == (None, None, False, None)
+            continue
+        spans = plain_matches(entries, text)
+        assert [tuple(m) for m in row.m] == spans and row.r == replaced(text, spans)
+        assert row.c == any(p in text for p in entries) and row.v == sorted(v for p, v in entries.items() if p in text)
+    with pytest.raises(ValueError):
+        Dictionary(rows, "k", "v", 200)
