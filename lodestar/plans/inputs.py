@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.fixed_values import ACTUALLY_MAJOR_CATEGORIES, ACTUALLY_MECHANICS, ACTUALLY_THEMES, DROP_SUBCATEGORIES
 from ..operators import tables
-from ..session import enough_splits, scratch_path
+from ..session import enough_splits, scratch_path, shuffles_dropped
 from ..sources import writers
 
 CATALOG_CATEGORIES = [
@@ -42,7 +42,8 @@ class Inputs:
         key = (self.spark.sparkContext.applicationId, self.folder, self.state(), label)
         if key not in _WRITTEN:
             path = scratch_path(self.spark, label)
-            write(path)
+            with shuffles_dropped(self.spark):
+                write(path)
             _WRITTEN[key] = path
         return _WRITTEN[key]
 
